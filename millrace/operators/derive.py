@@ -13,6 +13,7 @@ from millrace.functions.columns import FLOATS, col, field, present, quoted
 from millrace.functions.hashing import hash_normal
 from millrace.operators.order_statistics import dense_codes, running_total
 from millrace.operators.project import replace_columns
+from millrace.operators.sizes import broadcast_if, few_groups
 from millrace.operators.statistics import stat, with_stats
 
 
@@ -117,8 +118,9 @@ def minmax_apply(df: DataFrame, params: DataFrame, cols: Sequence[str]) -> DataF
 
 
 def _attach(df: DataFrame, codes: DataFrame, name: str, out: str) -> DataFrame:
-    """Left join of a code table (value, code) on its value; Spark picks the side's strategy."""
+    """Left join of a code table (value, code) on its value."""
     side = codes.select(col(name).alias("__value"), F.col("code").alias(out))
+    side = broadcast_if(few_groups(df, [name]), side)
     return df.join(side, col(name) == F.col("__value"), "left").drop("__value")
 
 

@@ -14,17 +14,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, field, present
 from millrace.functions.hashing import hash_uniform
+from millrace.operators.sizes import MAX_ROWS, fits_broadcast
 
-MAX_BROADCAST_ROWS = 100_000
 MAX_SCANNED_BANDS = 64  # bands that are compared one by one with every row
 
 
-def _at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
 def join_reference(
-    df: DataFrame, ref: DataFrame, on: tuple[str, str], max_broadcast: int = MAX_BROADCAST_ROWS
+    df: DataFrame, ref: DataFrame, on: tuple[str, str], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Full outer join with a reference table on one key per side; both keys are kept.
 
@@ -34,7 +30,7 @@ def join_reference(
     that is reduced map-side to the reference's size.
     """
     left, right = on
-    if not _at_most(ref, max_broadcast):
+    if not fits_broadcast(ref, max_rows):
         return df.join(ref, col(left) == col(right), "full_outer")
     matched = df.join(F.broadcast(ref), col(left) == col(right), "left")
     keys = ref.select(col(right).alias("__ref_key"))

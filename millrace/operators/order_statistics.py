@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, present, quoted
+from millrace.operators.sizes import few_groups
 
 ACCURACY = 1000  # of the sketch that places the bounds: its rank error is n / ACCURACY
 MARGIN = 1.5 / ACCURACY  # half width, in probability, of the bracket around a quantile
@@ -45,14 +46,19 @@ def _search(bounds: str, value: str, bits: int) -> str:
 
 
 def quantile_table(
-    df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    small: bool = False,
 ) -> DataFrame:
     """Quantiles with linear interpolation of a numeric column, per group.
 
     Returns one row per group and probability: the groups, `prob`, `quantile`, `n` (non-null
     values of the group). The columns involved are scanned three times: for a sketch of fixed
     size per group, for the counts of buckets and their slices, and for the few rows that
-    share a slice with a wanted rank. Only the last ones are shuffled.
+    share a slice with a wanted rank. `small` says that the number of groups is known to be
+    small: the per-group tables are then broadcast, and only those few rows are shuffled.
     """
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
     slices = 1000 if len(probs) <= 10 else 100
@@ -67,6 +73,9 @@ def quantile_table(
     def array(numbers: Sequence[float]) -> str:
         return "array(" + ", ".join(f"{float(x)!r}D" for x in numbers) + ")"
 
+    def hint(table: str) -> str:
+        return f"/*+ BROADCAST({table}) */" if small else ""
+
     g = listed()
     by = f"PARTITION BY {g[:-2]}" if groups else ""
     statement = f"""
@@ -77,7 +86,7 @@ def quantile_table(
                percentile_approx(v, {array(cuts)}, {ACCURACY}))) AS bounds
       FROM rows {"GROUP BY " + g[:-2] if groups else ""}
     ), searched AS (
-      SELECT {listed("rows.")} v, bounds,
+      SELECT {hint("sketch")} {listed("rows.")} v, bounds,
            {_search("bounds", "v", len(cuts).bit_length())}
       FROM rows JOIN sketch ON {matched("rows", "sketch")}
     ), placed AS (
@@ -99,7 +108,8 @@ def quantile_table(
                k -> struct(p AS prob, p * (n - 1) - floor(p * (n - 1)) AS weight, k AS rank)))),
              r -> r.rank >= start AND r.rank < start + size)) e AS r
     ), near AS (
-      SELECT {listed("wanted.")} n, prob, weight, rank, start, v, count(*) AS size
+      SELECT {hint("wanted")} {listed("wanted.")} n, prob, weight, rank, start, v,
+             count(*) AS size
       FROM placed JOIN wanted ON {matched("placed", "wanted", ("bucket", "slice"))}
       GROUP BY {listed("wanted.")} n, prob, weight, rank, start, v
     ), found AS (
@@ -139,7 +149,7 @@ def quantiles(
     long = unpivot_doubles(df, cols, by)
     keys = [*by, "column"]
     if exact:
-        return quantile_table(long, keys, "value", probs)
+        return quantile_table(long, keys, "value", probs, few_groups(df, by))
     grid = [float(p) for p in probs]
     sketch = (
         long.filter(F.col("value").isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import NUMERICS, col, columns_of, present, quoted
 from millrace.operators.order_statistics import quantiles, unpivot_doubles
+from millrace.operators.sizes import broadcast_if, few_groups
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -64,7 +65,7 @@ def box_stats(
     inside = F.when(~over & ~under, F.col("value"))
     reduced = (
         long.alias("v")
-        .join(box.alias("b"), same)
+        .join(broadcast_if(few_groups(df, by), box).alias("b"), same)
         .groupBy(*[F.col(f"b.{quoted(k)}").alias(k) for k in keys], *QUARTILES)
         .agg(
             F.min(inside).alias("lo"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
 from millrace.functions.hashing import hash_uniform
+from millrace.operators.sizes import broadcast_if, few_groups
 
 STRATUM_BUCKETS = 1 << 16
 
@@ -82,6 +83,7 @@ def stratified_column(
         .select("__l", F.struct("__u", "__key").alias("__last"))
     )
     own = F.struct(u.alias("__u"), col(key).alias("__key"))
+    last = broadcast_if(few_groups(df, [label]), last)
     flagged = df.join(last, col(label).eqNullSafe(F.col("__l")), "left")
     return flagged.select(
         *[col(c) for c in df.columns],
