@@ -25,7 +25,7 @@ NUMBER = r"(\d+(?:\.\d+)?)"
 
 def extract_json_block(html: Column, caption: str, schema: str = "array<array<double>>") -> Column:
     """JSON payload of the first chart block whose caption contains `caption`, else null."""
-    blocks = F.slice(F.split(html, CHART_WRAPPER), 2, 2147483647)
+    blocks = F.split(html, CHART_WRAPPER)
     hits = F.filter(
         blocks, lambda b: F.regexp_extract(b, CHART_CAPTION, 1).contains(F.lit(caption))
     )

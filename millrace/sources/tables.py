@@ -54,14 +54,18 @@ def list_tables(spark: SparkSession, schema: str | None = None) -> list[str]:
 
 
 def stage(
-    inputs: Sequence[str], outputs: Sequence[str], drop: Sequence[str] = ()
+    inputs: Sequence[str],
+    outputs: Sequence[str],
+    drop: Sequence[str] = (),
+    paths: Callable[[str], str] | None = None,
 ) -> Callable[[Callable[..., object]], Callable[..., object]]:
     """Turn a function of frames into a step from tables to tables.
 
     The function gets the input tables as lazy frames and returns a mapping of output table
     to frame, or one frame if there is one output; anything else in the mapping is handed on
     to the caller. The outputs are replaced, then the tables in `drop` are dropped. The
-    step is called with the session and the function's own keyword arguments.
+    step is called with the session and the function's own keyword arguments. `paths` names
+    an unused folder for an output that shall be an external table.
     """
 
     def decorate(f: Callable[..., object]) -> Callable[..., object]:
@@ -75,7 +79,7 @@ def stage(
             if missing:
                 raise ValueError(f"step {f.__name__} did not return {missing}")
             for name in outputs:
-                write_table(made[name], name)
+                write_table(made[name], name, paths(name) if paths else None)
             drop_tables(spark, drop)
             return {k: v for k, v in made.items() if k not in outputs}
 
