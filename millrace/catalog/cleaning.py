@@ -104,9 +104,12 @@ def replace_out_of_range_mean(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "events").select(
         "event_id", value.alias("over_range"), value.alias("over_all"), value.alias("over_condition")
     )
-    df = op.replace_out_of_range(df, "over_range", 0, 150)
-    df = op.replace_out_of_range(df, "over_all", 0, 150, over="all")
-    df = op.replace_out_of_range(df, "over_condition", 100, over=F.col("over_condition") > 100)
+    rules = {
+        "over_range": op.in_range(0, 150),
+        "over_all": op.in_range(0, 150, over="all"),
+        "over_condition": op.in_range(100, over=lambda c: c > 100),
+    }
+    df = op.repair(df, rules)
     return op.round_columns(df, ["over_range", "over_all", "over_condition"], 6)
 
 

@@ -36,13 +36,18 @@ from millrace.operators.lookup import (
     scale_rates,
 )
 from millrace.operators.missing import (
+    Repair,
+    binary_flag,
     clean_binary,
     impute,
     impute_from_votes,
+    in_range,
     missing_profile,
+    repair,
     replace_invalid,
     replace_out_of_range,
     row_sum,
+    valid_code,
 )
 from millrace.operators.order_statistics import dense_codes, quantiles, running_total
 from millrace.operators.outliers import (

@@ -1,54 +1,122 @@
-"""Missing values: profile, imputation by statistic, by constant, and by votes."""
+"""Missing and invalid values: profile, repair by statistic or constant, votes.
+
+A `Repair` says, for one column, which values are replaced and by what. `repair` applies any
+number of them at once: all means come from one aggregate and all modes from another, so the
+table is scanned three times however many columns there are, and nothing is collected.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, field, is_missing, present
 from millrace.operators.project import replace_columns
-from millrace.operators.statistics import mode_of, stat, with_stats
+from millrace.operators.statistics import mode_stats, stat, with_stats
 
 MEAN, MODE = "mean", "mode"
+Test = Callable[[Column], Column]
 
 
-def missing_profile(df: DataFrame, total: str = "n_rows") -> DataFrame:
-    """One row: the number of missing values per column, and the number of rows."""
-    return df.agg(
-        *[F.count_if(is_missing(df, c)).alias(c) for c in df.columns], F.count("*").alias(total)
-    )
+@dataclass(frozen=True)
+class Repair:
+    """How a column's values are replaced.
 
+    `fill` is MEAN, MODE or a constant (the texts "mean" and "mode" as a `Column`). `over`
+    tells the values a statistic is taken over, all present ones by default; `wrong` tells
+    the values to replace; missing values are replaced unless `missing` is false.
+    """
+
+    fill: object
+    over: Test | None = None
+    wrong: Test | None = None
+    missing: bool = True
 
-def _replaced(holder: DataFrame, df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
-    """Columns of `df`, some replaced, computed over `holder` (`df` with statistics added)."""
-    return holder.select(*[new[c].alias(c) if c in new else col(c) for c in df.columns])
+    @property
+    def statistic(self) -> str | None:
+        return self.fill if isinstance(self.fill, str) and self.fill in (MEAN, MODE) else None
 
 
-def impute(df: DataFrame, rules: Mapping[str, object]) -> DataFrame:
-    """Fill missing values: each column by "mean", by "mode", or by the constant given.
+def in_range(
+    lo: float | None = None, hi: float | None = None, over: str | Test = "in_range"
+) -> Repair:
+    """Values outside [lo, hi] or missing become a mean.
 
-    All means come from one aggregate and all modes from another. The mean of a whole-number
-    column makes it a double. A constant equal to "mean" or "mode" is written as a `Column`.
+    The mean is that of the values in range, of "all" values, or of those passing a test.
     """
 
-    def chosen(rule: str) -> list[str]:
-        return [c for c, r in rules.items() if isinstance(r, str) and r == rule]
+    def inside(c: Column) -> Column:
+        test = F.lit(True)
+        if lo is not None:
+            test = test & (c >= lo)
+        if hi is not None:
+            test = test & (c <= hi)
+        return test
+
+    if isinstance(over, str):
+        over = {"in_range": inside, "all": None}[over]
+    return Repair(MEAN, over, lambda c: ~inside(c))
+
+
+def valid_code(valid: Test, bad: Test | None = None, fill_missing: bool = True) -> Repair:
+    """Bad codes become the most frequent valid code; also missing ones, if asked.
 
-    means, modes = chosen(MEAN), chosen(MODE)
-    constants = [c for c in rules if c not in means and c not in modes]
-    filled, new = df, {}
+    Codes that are neither valid nor bad stay. By default every invalid code is bad.
+    """
+    return Repair(MODE, valid, bad or (lambda c: ~valid(c)), fill_missing)
+
+
+def binary_flag() -> Repair:
+    """Values above 1 and missing ones become the most frequent of the others."""
+    return valid_code(lambda c: c <= 1)
+
+
+def repair(df: DataFrame, rules: Mapping[str, Repair]) -> DataFrame:
+    """Apply a rule to each of several columns. The mean of whole numbers is a double."""
+
+    def basis(c: str) -> Column:
+        over = rules[c].over
+        return present(df, c) if over is None else F.when(over(present(df, c)), present(df, c))
+
+    means = [c for c in rules if rules[c].statistic == MEAN]
+    modes = [c for c in rules if rules[c].statistic == MODE]
+    holder = df
     if means:
-        filled = with_stats(filled, df.agg(*[F.avg(present(df, c)).alias(c) for c in means]), "__mean")
-        new |= {c: F.coalesce(present(df, c), stat(c, "__mean")) for c in means}
+        holder = with_stats(holder, df.agg(*[F.avg(basis(c)).alias(c) for c in means]), "__mean")
     if modes:
-        filled = with_stats(filled, mode_of(df, modes), "__mode")
-        new |= {c: F.coalesce(present(df, c), stat(c, "__mode")) for c in modes}
-    for c in constants:
-        value = rules[c] if isinstance(rules[c], Column) else F.lit(rules[c])
-        new[c] = F.coalesce(present(df, c), value.cast(field(df, c).dataType))
-    return _replaced(filled, df, new)
+        typed = {c: (basis(c), field(df, c).dataType) for c in modes}
+        holder = with_stats(holder, mode_stats(df, typed), "__mode")
+
+    def repaired(c: str) -> Column:
+        rule, value = rules[c], present(df, c)
+        if rule.statistic:
+            fill = stat(c, f"__{rule.statistic}")
+        else:
+            constant = rule.fill if isinstance(rule.fill, Column) else F.lit(rule.fill)
+            fill = constant.cast(field(df, c).dataType)
+        if rule.wrong is None:
+            return F.coalesce(value, fill) if rule.missing else value
+        wrong = F.coalesce(rule.wrong(value), F.lit(False))
+        if rule.missing:
+            wrong = wrong | value.isNull()
+        return F.when(wrong, fill).otherwise(value)
+
+    return holder.select(*[repaired(c).alias(c) if c in rules else col(c) for c in df.columns])
+
+
+def missing_profile(df: DataFrame, total: str = "n_rows") -> DataFrame:
+    """One row: the number of missing values per column, and the number of rows."""
+    return df.agg(
+        *[F.count_if(is_missing(df, c)).alias(c) for c in df.columns], F.count("*").alias(total)
+    )
+
+
+def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
+    """Fill missing values: each column by "mean", by "mode", or by the constant given."""
+    return repair(df, {c: Repair(fill) for c, fill in fills.items()})
 
 
 def replace_out_of_range(
@@ -56,55 +124,25 @@ def replace_out_of_range(
     name: str,
     lo: float | None = None,
     hi: float | None = None,
-    over: str | Column = "in_range",
+    over: str | Test = "in_range",
 ) -> DataFrame:
-    """Set values below `lo`, above `hi` or missing to a mean.
-
-    The mean is taken over the rows in range, over "all" present values, or over the rows
-    where a condition holds.
-    """
-    value = present(df, name)
-    inside = F.lit(True)
-    if lo is not None:
-        inside = inside & (value >= lo)
-    if hi is not None:
-        inside = inside & (value <= hi)
-    if isinstance(over, Column):
-        basis = F.when(over, value)
-    else:
-        basis = {"in_range": F.when(inside, value), "all": value}[over]
-    filled = with_stats(df, df.agg(F.avg(basis).alias("mean")))
-    kept = value.isNotNull() & inside
-    return _replaced(filled, df, {name: F.when(kept, value).otherwise(stat("mean"))})
+    """Set values outside [lo, hi] or missing to a mean; see `in_range`."""
+    return repair(df, {name: in_range(lo, hi, over)})
 
 
 def replace_invalid(
     df: DataFrame,
     cols: Sequence[str],
-    valid: Callable[[Column], Column],
-    bad: Callable[[Column], Column] | None = None,
+    valid: Test,
+    bad: Test | None = None,
     fill_missing: bool = True,
 ) -> DataFrame:
-    """Set bad codes to the column's most frequent valid code; also missing ones, if asked.
-
-    Codes that are neither valid nor bad stay. By default every invalid code is bad.
-    """
-    bad = bad or (lambda c: ~valid(c))
-    filled = with_stats(df, mode_of(df, cols, {c: valid(present(df, c)) for c in cols}))
-
-    def repaired(c: str) -> Column:
-        value = present(df, c)
-        wrong = F.coalesce(bad(value), F.lit(False))
-        if fill_missing:
-            wrong = wrong | value.isNull()
-        return F.when(wrong, stat(c)).otherwise(value)
-
-    return _replaced(filled, df, {c: repaired(c) for c in cols})
+    """Set bad codes to the column's most frequent valid code; see `valid_code`."""
+    return repair(df, {c: valid_code(valid, bad, fill_missing) for c in cols})
 
 
 def clean_binary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Flags: values above 1 and missing ones become the most frequent of the others."""
-    return replace_invalid(df, cols, lambda c: c <= 1)
+    return repair(df, {c: binary_flag() for c in cols})
 
 
 def impute_from_votes(df: DataFrame, name: str, sources: Sequence[str], k: float = 1) -> DataFrame:

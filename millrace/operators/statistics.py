@@ -7,7 +7,7 @@ no join, no collect in between, and the frame stays lazy.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import col, field, present
+from millrace.functions.columns import col
 
 STATS = "__stats"
 
@@ -35,39 +35,32 @@ def mode_stats(df: DataFrame, values: Mapping[str, tuple[Column, T.DataType]]) -
 
     The values are counted under a hash partitioning, combined map-side first, and only then
     reduced to the best pair. So a column of many distinct values, which would fill one task
-    as the state of `mode()`, is spread over the cluster. One scan serves all columns.
+    as the state of `mode()`, is spread over the cluster. One scan serves all columns; those
+    of one type share a column of the counted table.
     """
-    slots = {n: f"v{i}" for i, n in enumerate(values)}
+    types = {t.simpleString(): t for _, t in values.values()}
+    slots = {name: f"v{i}" for i, name in enumerate(types)}
+    numbers = {n: i for i, n in enumerate(values)}
 
     def entry(name: str) -> Column:
-        fields = [
-            (expr if n == name else F.lit(None)).cast(data_type).alias(slots[n])
-            for n, (expr, data_type) in values.items()
+        expr, own = values[name]
+        typed = [
+            (expr if t == own.simpleString() else F.lit(None)).cast(types[t]).alias(slot)
+            for t, slot in slots.items()
         ]
-        return F.struct(F.lit(slots[name]).alias("slot"), *fields)
+        return F.struct(F.lit(numbers[name]).alias("entry"), *typed)
 
     counted = (
         df.select(F.explode(F.array(*[entry(n) for n in values])).alias("e"))
         .select("e.*")
         .filter(reduce(or_, [F.col(s).isNotNull() for s in slots.values()]))
-        .groupBy("slot", *slots.values())
+        .groupBy("entry", *slots.values())
         .agg(F.count("*").alias("n"))
     )
 
-    def best(slot: str) -> Column:
-        pair = F.struct((-F.col("n")).alias("rank"), F.col(slot).alias("value"))
-        return F.min(F.when(F.col("slot") == slot, pair)).getField("value")
+    def best(name: str) -> Column:
+        value = F.col(slots[values[name][1].simpleString()])
+        pair = F.struct((-F.col("n")).alias("rank"), value.alias("value"))
+        return F.min(F.when(F.col("entry") == numbers[name], pair)).getField("value")
 
-    return counted.agg(*[best(s).alias(n) for n, s in slots.items()])
-
-
-def mode_of(
-    df: DataFrame, cols: Sequence[str], where: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """`mode_stats` of columns; `where` restricts a column to the rows meeting a condition."""
-    where = where or {}
-
-    def counted(c: str) -> Column:
-        return F.when(where[c], present(df, c)) if c in where else present(df, c)
-
-    return mode_stats(df, {c: (counted(c), field(df, c).dataType) for c in cols})
+    return counted.agg(*[best(n).alias(n) for n in values])

@@ -18,10 +18,10 @@ def flagged_share_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_parquet(spark, f"{sf_dir}/documents.parquet").select(*columns)
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
     df = documents.join(labels, "doc_id", "left")
-    df = op.replace_out_of_range(df, "n_chars", 1, 20_000)
-    df = op.impute(df, {"toxic": "mode"})
+    df = op.repair(df, {"n_chars": op.in_range(1, 20_000), "toxic": op.Repair("mode")})
     bands = literal_table(spark, LENGTH_BANDS, "lo double, hi double, rate double")
     df = op.impute_bernoulli(df, "quality", bands, "n_chars", "doc_id", seed=42)
-    rate = op.group_rate(df, ["lang"], (F.col("quality") == 1) | (F.col("toxic") == 1))
-    length = op.group_avg(df, ["lang"], "n_chars", "mean_length")
-    return op.combine_columns(rate, length, ["lang"])
+    flagged = (F.col("quality") == 1) | (F.col("toxic") == 1)
+    return df.groupBy("lang").agg(
+        F.avg(flagged.cast("double")).alias("rate"), F.avg("n_chars").alias("mean_length")
+    )

@@ -71,12 +71,13 @@ def clean_for_reporting(df: DataFrame) -> DataFrame:
     measures = [c for c in MEASURES if c in df.columns]
     categories = [c for c in df.columns if c not in measures]
     df = op.impute(op.iqr_to_null(df, measures), {c: "mean" for c in measures})
-    if "proto" in categories:
-        df = op.replace_invalid(
-            df, ["proto"], lambda c: c < HIGHEST_PROTOCOL, lambda c: c > HIGHEST_PROTOCOL, False
-        )
-    if "prop" in categories:
-        df = op.replace_invalid(df, ["prop"], lambda c: c != WRONG_PROP, fill_missing=False)
+    codes = {
+        "proto": op.valid_code(
+            lambda c: c < HIGHEST_PROTOCOL, lambda c: c > HIGHEST_PROTOCOL, fill_missing=False
+        ),
+        "prop": op.valid_code(lambda c: c != WRONG_PROP, fill_missing=False),
+    }
+    df = op.repair(df, {c: rule for c, rule in codes.items() if c in categories})
     df = op.impute(df, {c: "mode" for c in categories})
     df = op.replace_columns(df, {c: F.col(c).cast("int") for c in categories})
     return op.narrow_booleans(df, categories)
@@ -107,12 +108,13 @@ def clean_for_modelling(df: DataFrame, mean_over: str = "in_range") -> DataFrame
     """
     keep = [c for c in [*RETAINED, LABEL] if c in df.columns]
     extra = [c for c in df.columns if c not in RETAINED and c != LABEL]
-    pressure = F.col("trestbps") > 100 if mean_over == "in_range" else mean_over
-    df = op.impute(df.select(*extra, *keep), {c: "mode" for c in MODE_COLUMNS})
-    df = op.replace_out_of_range(df, "trestbps", 100, over=pressure)
-    df = op.replace_out_of_range(df, "oldpeak", 0, 4, over=mean_over)
-    df = op.impute(df, {c: "mean" for c in MEAN_COLUMNS})
-    return op.clean_binary(df, FLAGS)
+    pressure = (lambda c: c > 100) if mean_over == "in_range" else mean_over
+    rules = {c: op.Repair("mode") for c in MODE_COLUMNS}
+    rules |= {c: op.Repair("mean") for c in MEAN_COLUMNS}
+    rules |= {c: op.binary_flag() for c in FLAGS}
+    rules["trestbps"] = op.in_range(100, over=pressure)
+    rules["oldpeak"] = op.in_range(0, 4, over=mean_over)
+    return op.repair(df.select(*extra, *keep), rules)
 
 
 def bands_by_age(pages: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def test_drop_missing(df):
 
 def test_out_of_range(spark):
     frame = spark.createDataFrame([(i, x) for i, x in enumerate([90.0, 100.0, 110.0, 130.0, None, NAN])], "id int, x double")
-    assert values(op.replace_out_of_range(frame, "x", 100, over=frame.x > 100), "x") == [120.0, 100.0, 110.0, 130.0, 120.0, 120.0]
+    assert values(op.replace_out_of_range(frame, "x", 100, over=lambda c: c > 100), "x") == [120.0, 100.0, 110.0, 130.0, 120.0, 120.0]
     assert values(op.replace_out_of_range(frame, "x", 100), "x")[0] == pytest.approx(340 / 3)
     assert values(op.replace_out_of_range(frame, "x", 100, over="all"), "x")[0] == 107.5
 
