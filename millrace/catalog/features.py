@@ -181,4 +181,4 @@ def row_uniform(spark: SparkSession, sf: str) -> DataFrame:
 def perturb_values(spark: SparkSession, sf: str) -> DataFrame:
     """Normal noise on a column, the same in every run."""
     df = table(spark, sf, "events").select("event_id", "value")
-    return op.perturb(df, ["value"], 0.1, "event_id", seed=3)
+    return op.perturb(df, ["value"], 0.1, "event_id", 3)

@@ -12,11 +12,11 @@ from pyspark.ml import Estimator, Transformer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, present
-from millrace.functions.hashing import hash_normal
+from millrace.functions.columns import col
 from millrace.models.evaluate import accuracy, binary_report
-from millrace.models.train import fit
+from millrace.models.train import fit, kept
 from millrace.operators.aggregate import best_of
+from millrace.operators.derive import perturb
 from millrace.operators.setops import union_all
 
 DO_NOTHING = "do_nothing"
@@ -67,8 +67,10 @@ def evaluate_matrix(
     """Accuracy of every model on every (train, test) pair: (model, dataset, metric, value)."""
     rows = []
     for dataset, (train, test) in datasets.items():
-        for name, model in models.items():
-            score = accuracy(fit(model, train).transform(test), label, out="value")
+        with kept(train) as data:
+            fitted = {name: model.fit(data) for name, model in models.items()}
+        for name, model in fitted.items():
+            score = accuracy(model.transform(test), label, out="value")
             rows.append(
                 score.select(
                     F.lit(name).alias("model"),
@@ -107,16 +109,7 @@ def perturbation_test(
     with its own noise, which depends on the row's key, the seed, the trial and the column.
     """
     copies = test.withColumn("__trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
-    noisy = copies.select(
-        *[
-            (
-                present(test, c) + hash_normal(col(key), F.lit(seed), F.col("__trial"), F.lit(c)) * std
-            ).alias(c)
-            if c in cols
-            else col(c)
-            for c in copies.columns
-        ]
-    )
+    noisy = perturb(copies, cols, std, key, seed, F.col("__trial"))
     right = (col(label) == F.col("prediction")).cast("double")
     scores = model.transform(noisy).groupBy("__trial").agg(F.avg(right).alias("score"))
     so_far = Window.orderBy("__trial").rowsBetween(Window.unboundedPreceding, Window.currentRow)

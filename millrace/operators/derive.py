@@ -154,9 +154,18 @@ def string_index(df: DataFrame, cols: Sequence[str], suffix: str = "Index") -> D
 
 
 def perturb(
-    df: DataFrame, cols: Sequence[str], std: float, key: str, seed: int | str | Column
+    df: DataFrame, cols: Sequence[str], std: float, key: str, *seed: Column | int | str
 ) -> DataFrame:
-    """Add independent normal noise to columns; a row's noise depends on its key and the seed."""
-    return replace_columns(
-        df, {c: present(df, c) + hash_normal(col(key), seed, c) * F.lit(float(std)) for c in cols}
+    """Add independent normal noise to columns; it depends on row key, column and seed only.
+
+    The columns pass through one array, so that the generated code does not grow with their
+    number beyond what a method may hold.
+    """
+    cols = list(cols)
+    values = F.array(*[present(df, c).cast("double") for c in cols])
+    noisy = df.withColumn(
+        "__noisy", F.transform(values, lambda v, i: v + hash_normal(col(key), *seed, i) * std)
+    )
+    return noisy.select(
+        *[F.col("__noisy")[cols.index(c)].alias(c) if c in cols else col(c) for c in df.columns]
     )

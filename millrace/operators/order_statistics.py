@@ -51,6 +51,7 @@ def quantile_table(
     value: str,
     probs: Sequence[float],
     small: bool = False,
+    solid: Sequence[str] = (),
 ) -> DataFrame:
     """Quantiles with linear interpolation of a numeric column, per group.
 
@@ -59,6 +60,7 @@ def quantile_table(
     size per group, for the counts of buckets and their slices, and for the few rows that
     share a slice with a wanted rank. `small` says that the number of groups is known to be
     small: the per-group tables are then broadcast, and only those few rows are shuffled.
+    `solid` groups hold no nulls, so that plain equality will do.
     """
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
     slices = 1000 if len(probs) <= 10 else 100
@@ -67,7 +69,9 @@ def quantile_table(
         return "".join(f"{alias}{_name(g)}, " for g in groups)
 
     def matched(a: str, b: str, keys: Sequence[str] = ()) -> str:
-        pairs = [f"{a}.{_name(g)} <=> {b}.{_name(g)}" for g in groups]
+        pairs = [
+            f"{a}.{_name(g)} {'=' if g in solid else '<=>'} {b}.{_name(g)}" for g in groups
+        ]
         return " AND ".join(pairs + [f"{a}.{k} = {b}.{k}" for k in keys]) or "true"
 
     def array(numbers: Sequence[float]) -> str:
@@ -123,11 +127,19 @@ def quantile_table(
     return df.sparkSession.sql(statement, df=df)
 
 
-def unpivot_doubles(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form (keep..., column, value) of numeric columns; NaN becomes null."""
+def unpivot_doubles(
+    df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), numbered: bool = False
+) -> DataFrame:
+    """Long form (keep..., column, value) of numeric columns; NaN becomes null.
+
+    `column` is the name, or the number from 1, which is the cheaper key.
+    """
     pairs = [
-        F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("value"))
-        for c in cols
+        F.struct(
+            F.lit(i if numbered else c).alias("column"),
+            present(df, c).cast("double").alias("value"),
+        )
+        for i, c in enumerate(cols, 1)
     ]
     return df.select(*[col(k) for k in keep], F.explode(F.array(*pairs)).alias("p")).select(
         *[col(k) for k in keep], "p.column", "p.value"
@@ -146,10 +158,15 @@ def quantiles(
     Exact ones interpolate linearly. `exact=False` takes the sketch's element instead, in one
     scan and with a rank error of at most n / 10000.
     """
+    if exact:
+        long = unpivot_doubles(df, cols, by, numbered=True)
+        table = quantile_table(long, ["column", *by], "value", probs, few_groups(df, by), ["column"])
+        name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column"))
+        return table.select(
+            *[col(b) for b in by], name.alias("column"), "prob", "quantile", "n"
+        )
     long = unpivot_doubles(df, cols, by)
     keys = [*by, "column"]
-    if exact:
-        return quantile_table(long, keys, "value", probs, few_groups(df, by))
     grid = [float(p) for p in probs]
     sketch = (
         long.filter(F.col("value").isNotNull())

@@ -1,7 +1,8 @@
 """Samples, splits and folds that a rerun, a retry or another cluster repeats exactly.
 
-Every choice hashes a unique key of the row together with a seed. `DataFrame.sample` and
-`randomSplit` depend on how the rows happen to be partitioned.
+Every choice hashes a unique key of the row together with a seed. Tables without a key can
+be sampled and split by Spark's own generator, which depends on how the rows happen to be
+partitioned.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from millrace.operators.sizes import broadcast_if, few_groups
 STRATUM_BUCKETS = 1 << 16
 
 
-def sample(df: DataFrame, fraction: float, key: str, seed: int | str) -> DataFrame:
+def sample(df: DataFrame, fraction: float, key: str | None, seed: int | str) -> DataFrame:
     """Keep each row with the given probability, without replacement."""
+    if key is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=int(seed))
     return df.filter(hash_uniform(col(key), seed) < fraction)
 
 
@@ -34,9 +37,11 @@ def split_column(key: str, fractions: Sequence[float], seed: int | str) -> Colum
 
 
 def random_split(
-    df: DataFrame, fractions: Sequence[float], key: str, seed: int | str
+    df: DataFrame, fractions: Sequence[float], key: str | None, seed: int | str
 ) -> list[DataFrame]:
     """Disjoint frames that together hold every row."""
+    if key is None:
+        return df.randomSplit([float(f) for f in fractions], seed=int(seed))
     parted = df.withColumn("__part", split_column(key, fractions, seed))
     return [parted.filter(F.col("__part") == i).drop("__part") for i in range(len(fractions))]
 

@@ -16,10 +16,10 @@ MAX_BYTES = 32 << 20
 def fits_broadcast(df: DataFrame, rows: int = MAX_ROWS, size: int = MAX_BYTES) -> bool:
     """Whether a frame has at most `rows` rows of together at most `size` bytes (as text).
 
-    Runs one job, which looks at no more than `rows` + 1 rows of the frame.
+    Runs one job, a global count and sum that every task reduces to one row.
     """
     text = F.to_json(F.struct(*[col(c) for c in df.columns]))
-    n, used = df.limit(rows + 1).agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    n, used = df.agg(F.count("*"), F.sum(F.octet_length(text))).first()
     return n <= rows and (used or 0) <= size
 
 

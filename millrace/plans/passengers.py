@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from millrace import models
 from millrace import operators as op
-from millrace.functions import NUMERICS
+from millrace.functions import NUMERICS, columns_of
 
 # The split, the folds and the grid.
 SPLIT = (0.8, 0.2)
@@ -38,8 +38,8 @@ def train_and_score(
     parallelism: int = 8,
 ) -> Outcome:
     """Fit on the training part only; the area under ROC is that of the held-out part."""
-    numbers = op.cast_where(op.drop_missing(df, [label]), NUMERICS, "double")
-    data = numbers.withColumn(key, df[key])
+    numbers = columns_of(df, NUMERICS, {key})
+    data = op.apply_columns(op.drop_missing(df, [label]), numbers, lambda c: c.cast("double"))
     train, test = op.random_split(data, SPLIT, key, SPLIT_SEED)
     forest = models.estimator("forest", label, seed=SPLIT_SEED, maxBins=256)
     steps = models.build_pipeline(*models.typed_stages(data, label, [key, *exclude]), forest)

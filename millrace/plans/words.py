@@ -18,8 +18,13 @@ def run_word_count(spark: SparkSession, source: str, target: str, files: int | N
 
 
 def run_sampling(
-    spark: SparkSession, source: str, target: str, key: str, fraction: float = 0.01, seed: int = 42
+    spark: SparkSession,
+    source: str,
+    target: str,
+    key: str | None = None,
+    fraction: float = 0.01,
+    seed: int = 42,
 ) -> None:
-    """Write a sample of a CSV file, with header, chosen by a key column."""
+    """Write a sample of a CSV file, with header, chosen by a key column if it has one."""
     df = read_csv(spark, source)
     write_csv(op.sample(df, fraction, key, seed), target)

@@ -14,6 +14,14 @@ from millrace.sources.readers import (
 )
 from millrace.sources.scratch import scratch_path
 from millrace.sources.tables import drop_tables, list_tables, reset_schema, stage, write_table
-from millrace.sources.writers import write_csv, write_jdbc, write_json, write_parquet, write_text, write_xml
+from millrace.sources.writers import (
+    partition_count,
+    write_csv,
+    write_jdbc,
+    write_json,
+    write_parquet,
+    write_text,
+    write_xml,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -15,6 +15,11 @@ def _partitioned(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.coalesce(1) if partitions == 1 else df.repartition(partitions)
 
 
+def partition_count(df: DataFrame) -> int:
+    """How many partitions the frame's plan ends in; nothing is computed."""
+    return df.rdd.getNumPartitions()
+
+
 def write_csv(
     df: DataFrame, path: str, header: bool = True, partitions: int | None = None, **options: object
 ) -> None:
