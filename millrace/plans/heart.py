@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,8 @@ MALE, FEMALE = 1, 0
 TEST_SHARE = 0.1
 FOLDS = 5
 SEED = 42
+MODELS = {"lr": {}, "tree": {}, "forest": {"seed": SEED}}
+LINEAR_MODELS = {"lr": {}, "svm": {}}
 
 
 def clean_for_reporting(df: DataFrame) -> DataFrame:
@@ -181,18 +183,21 @@ def smoking_rate(df: DataFrame, by_age: DataFrame, by_sex: DataFrame) -> DataFra
 
 
 def choose_and_report(
-    df: DataFrame, features: Sequence[str], key: str, kinds: Sequence[str] = ("lr", "tree", "forest")
+    df: DataFrame,
+    features: Sequence[str],
+    key: str,
+    kinds: Mapping[str, Mapping[str, object]] = MODELS,
 ) -> tuple[DataFrame, DataFrame]:
     """Cross-validated scores (model, value), and the best model's report on the test rows.
 
-    The test rows have the share of each label that all rows have, and no part in the choice.
+    `kinds` gives the parameters of each kind of model. The test rows have the share of each label that all rows have, and no part in the choice.
     """
     labelled = op.drop_missing(df.select(key, *features, LABEL))
     data = labelled.withColumnRenamed(LABEL, "label")
     train, test = op.stratified_split(data, "label", TEST_SHARE, key, SEED)
     steps = {
-        kind: models.build_pipeline(models.assemble(features), models.estimator(kind))
-        for kind in kinds
+        kind: models.build_pipeline(models.assemble(features), models.estimator(kind, **params))
+        for kind, params in kinds.items()
     }
     scores = [
         (kind, models.cross_validate(model, train, FOLDS, key, SEED).score)
@@ -205,10 +210,14 @@ def choose_and_report(
 
 
 def six_models(
-    first: DataFrame, second: DataFrame, third: DataFrame, key: str
+    first: DataFrame,
+    second: DataFrame,
+    third: DataFrame,
+    key: str,
+    kinds: Mapping[str, Mapping[str, object]] = LINEAR_MODELS,
 ) -> tuple[DataFrame, DataFrame]:
     """Two model kinds on three cleaned versions of the data: all scores, and the best's report."""
-    datasets, parts = {}, {}
+    datasets = {}
     for name, df in {"all_columns": first, "modelling": second, "with_rates": third}.items():
         numbers = [c for c in columns_of(df, NUMERICS) if c not in (key, LABEL)]
         data = op.drop_missing(df.select(key, *numbers, LABEL)).withColumnRenamed(LABEL, "label")
@@ -216,13 +225,14 @@ def six_models(
         prepared = models.build_pipeline(
             models.assemble(numbers, "raw"), models.standard_scale("raw", "features")
         ).fit(train)
-        parts[name] = (prepared.transform(train), prepared.transform(test))
-        datasets[name] = tuple(p.select("label", "features") for p in parts[name])
-    kinds = {"lr": models.estimator("lr"), "svm": models.estimator("svm")}
-    metrics = models.evaluate_matrix(datasets, kinds)
+        datasets[name] = tuple(
+            prepared.transform(part).select("label", "features") for part in (train, test)
+        )
+    estimators = {kind: models.estimator(kind, **params) for kind, params in kinds.items()}
+    metrics = models.evaluate_matrix(datasets, estimators)
     named = metrics.withColumn("id", F.concat_ws(":", "model", "dataset"))
     best = models.select_best(named, "id").first()
-    return metrics, models.final_report(kinds[best["model"]], *datasets[best["dataset"]])
+    return metrics, models.final_report(estimators[best["model"]], *datasets[best["dataset"]])
 
 
 def run_reporting(spark: SparkSession, source: str, target: str, table: str) -> dict[str, DataFrame]:
