@@ -91,6 +91,25 @@ def ingest_union(spark: SparkSession, sf: str) -> DataFrame:
     return sources.ingest_union(spark, paths, df.select(*kept).schema)
 
 
+@query("""
+SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL
+SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'supplier', count(*) FROM supplier
+""")
+def schema_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A schema emptied and filled again: its tables, with their rows."""
+    schema = "millrace_schema"
+    sources.reset_schema(spark, schema, "copies of three tables")
+    for name in ("customer", "orders", "supplier", "nation"):
+        path = sources.scratch_path(spark, name)
+        sources.write_table(table(spark, sf, name), f"{schema}.{name}", path)
+    sources.drop_tables(spark, [f"{schema}.nation"])
+    counts = [
+        op.row_count(spark.table(f"{schema}.{name}")).select(F.lit(name).alias("name"), "n")
+        for name in sources.list_tables(spark, schema)
+    ]
+    return op.union_all(counts)
+
+
 @query("SELECT c_mktsegment, round(avg(c_acctbal), 6) AS average_c_acctbal FROM customer GROUP BY 1")
 def stage_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Two steps from tables to tables; the one in between is dropped."""

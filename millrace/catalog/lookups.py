@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import operators as op
-from millrace.catalog.registry import LABELLED, labelled, query, table, uniform_sql, values_sql
+from millrace.catalog.registry import (
+    LABELLED,
+    labelled,
+    mode_sql,
+    query,
+    table,
+    uniform_sql,
+    values_sql,
+)
+from millrace.plans import documents
+from millrace.plans.documents import LENGTH_BANDS
 from millrace.sources import literal_table
 
 _BAND = (["DOUBLE"] * 3, ["lo", "hi", "rate"])
@@ -139,6 +149,26 @@ def mean_of_two_rates(spark: SparkSession, sf: str) -> DataFrame:
     return op.mean_of_rates(df, "rate", sources).select("doc_id", "rate")
 
 
+@query(f"""
+WITH d AS (
+  SELECT doc_id, lang, quality, coalesce(toxic, {mode_sql("toxic", "labels")}) AS toxic,
+         CASE WHEN n_chars BETWEEN 1 AND 20000 THEN n_chars ELSE m.mean END AS n_chars
+  FROM {LABELLED}, (SELECT avg(n_chars) FILTER (n_chars BETWEEN 1 AND 20000) AS mean FROM documents) m),
+f AS (
+  SELECT d.*, CASE WHEN quality IS NOT NULL THEN quality
+                   WHEN {uniform_sql("doc_id", 42)} <= b.rate THEN 1
+                   WHEN b.rate IS NOT NULL THEN 0 END AS filled
+  FROM d LEFT JOIN {values_sql(LENGTH_BANDS, *_BAND)} b ON {_inside("n_chars", "b")})
+SELECT lang, round(avg((filled = 1 OR toxic = 1)::INTEGER), 9) AS rate,
+       round(avg(n_chars), 6) AS mean_length
+FROM f GROUP BY lang
+""")
+def flagged_share_by_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship: clean, impute, look up, aggregate."""
+    df = documents.flagged_share_by_language(spark, sf)
+    return op.round_columns(op.round_columns(df, ["rate"], 9), ["mean_length"], 6)
+
+
 _SHARES = [("BUILDING", 47.35, 41.81), ("MACHINERY", 67.54, 68.33), ("UNKNOWN", 3.58, 11.61),
            ("FURNITURE", 10.82, 15.09)]
 

@@ -17,7 +17,8 @@ _SPAN = float(1 << (4 * _DIGITS))
 
 def hash_uniform(key: Column, seed: int | str) -> Column:
     """Uniform number in [0, 1) made from the MD5 digest of `key:seed`."""
-    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary"))
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    digest = F.md5(text.cast("binary"))
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("bigint") / F.lit(_SPAN)
 
 

@@ -68,7 +68,8 @@ def range_lookup(
         F.col("hi").alias("__hi"),
         col(value).alias("__value"),
     )
-    inside = (col(x) >= F.col("__lo")) & (F.col("__hi").isNull() | (col(x) <= F.col("__hi")))
+    at = present(df, x)
+    inside = (at >= F.col("__lo")) & (F.col("__hi").isNull() | (at <= F.col("__hi")))
     for b, n in names.items():
         inside = inside & (col(b) == F.col(n))
     size, first, last = side.agg(
@@ -87,7 +88,7 @@ def range_lookup(
 
         top = F.coalesce(bin_of(F.col("__hi")), F.lit(size))
         side = side.withColumn("__bin", F.explode(F.sequence(bin_of(F.col("__lo")), top)))
-        rows = df.withColumn("__x_bin", bin_of(col(x)))
+        rows = df.withColumn("__x_bin", bin_of(at))
         inside = (F.col("__x_bin") == F.col("__bin")) & inside
     joined = rows.join(side, inside, "left")
     return joined.select(*[col(c) for c in left], F.col("__value").alias(out))

@@ -152,15 +152,17 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     exact: bool = True,
+    small: bool | None = None,
 ) -> DataFrame:
     """Quantiles of several columns: rows (by..., column, prob, quantile, n).
 
-    Exact ones interpolate linearly. `exact=False` takes the sketch's element instead, in one
+    `small` tells whether the groups are few enough for a broadcast, if that is known. Exact ones interpolate linearly. `exact=False` takes the sketch's element instead, in one
     scan and with a rank error of at most n / 10000.
     """
     if exact:
         long = unpivot_doubles(df, cols, by, numbered=True)
-        table = quantile_table(long, ["column", *by], "value", probs, few_groups(df, by), ["column"])
+        small = few_groups(df, by) if small is None else small
+        table = quantile_table(long, ["column", *by], "value", probs, small, ["column"])
         name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column"))
         return table.select(
             *[col(b) for b in by], name.alias("column"), "prob", "quantile", "n"

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +43,16 @@ def zscore_filter(
     """
     moments = [F.avg(present(df, c)).alias(f"mean__{c}") for c in cols]
     moments += [_deviation(df, c, ddof).alias(f"std__{c}") for c in cols]
+    if not cols:
+        return df
     scored = with_stats(df, df.agg(*moments))
-    for c in cols:
+
+    def usual(c: str) -> Column:
         score = F.abs(F.try_divide(present(df, c) - stat(f"mean__{c}"), stat(f"std__{c}")))
-        scored = scored.filter(~F.coalesce(score > threshold, F.lit(False)))
-    return scored.select(*[col(c) for c in df.columns])
+        return F.coalesce(score <= threshold, F.lit(True))
+
+    kept = scored.filter(reduce(and_, [usual(c) for c in cols]))
+    return kept.select(*[col(c) for c in df.columns])
 
 
 def zscore_filter_sequential(

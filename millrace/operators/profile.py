@@ -15,9 +15,11 @@ from millrace.operators.sizes import broadcast_if, few_groups
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def _quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str], exact: bool) -> DataFrame:
+def _quartiles(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str], exact: bool, small: bool
+) -> DataFrame:
     """Rows (by..., column, q1, median, q3)."""
-    table = quantiles(df, cols, list(QUARTILES.values()), by, exact)
+    table = quantiles(df, cols, list(QUARTILES.values()), by, exact, small)
     return table.groupBy(*[col(b) for b in by], "column").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for n, p in QUARTILES.items()]
     )
@@ -39,7 +41,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     long = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s"))
     return (
         long.select("s.*")
-        .join(_quartiles(df, cols, (), exact), "column", "left")
+        .join(_quartiles(df, cols, (), exact, small=True), "column", "left")
         .select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
     )
 
@@ -57,7 +59,8 @@ def box_stats(
     box; the values beyond the whiskers are the outliers.
     """
     long = unpivot_doubles(df, cols, by).filter(F.col("value").isNotNull())
-    box = _quartiles(df, cols, by, exact)
+    small = few_groups(df, by)
+    box = _quartiles(df, cols, by, exact, small)
     keys = [*by, "column"]
     same = [F.col(f"v.{quoted(k)}").eqNullSafe(F.col(f"b.{quoted(k)}")) for k in keys]
     margin = (F.col("q3") - F.col("q1")) * factor
@@ -65,7 +68,7 @@ def box_stats(
     inside = F.when(~over & ~under, F.col("value"))
     reduced = (
         long.alias("v")
-        .join(broadcast_if(few_groups(df, by), box).alias("b"), same)
+        .join(broadcast_if(small, box).alias("b"), same)
         .groupBy(*[F.col(f"b.{quoted(k)}").alias(k) for k in keys], *QUARTILES)
         .agg(
             F.min(inside).alias("lo"),

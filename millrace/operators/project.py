@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,9 +100,8 @@ def filter_not_null(df: DataFrame, *names: str) -> DataFrame:
 
 def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Keep the rows without null or NaN in the given columns (default: all)."""
-    for name in cols or df.columns:
-        df = df.filter(~is_missing(df, name))
-    return df
+    tests = [~is_missing(df, name) for name in (df.columns if cols is None else cols)]
+    return df.filter(reduce(and_, tests)) if tests else df
 
 
 def drop_flagged(df: DataFrame, mask: Column) -> DataFrame:

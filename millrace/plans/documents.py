@@ -9,7 +9,12 @@ from millrace import operators as op
 from millrace.sources import literal_table, read_parquet
 
 # Expected share of flagged documents by length, where no label says it.
-LENGTH_BANDS = [(0, 500, 0.2), (501, 2000, 0.4), (2001, 6000, 0.6), (6001, None, 0.8)]
+LENGTH_BANDS = [
+    (0.0, 500.0, 0.2),
+    (501.0, 2000.0, 0.4),
+    (2001.0, 6000.0, 0.6),
+    (6001.0, None, 0.8),
+]
 
 
 def flagged_share_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:

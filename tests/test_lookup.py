@@ -53,6 +53,19 @@ def test_outer_join(spark, max_rows):
     )
 
 
+def test_nan_lies_in_no_band(spark, bands):
+    df = spark.createDataFrame([(1, float("nan")), (2, 70.0)], "id int, x double")
+    for scanned in (64, 0):
+        out = op.range_lookup(df, bands, "x", max_scanned=scanned)
+        assert {r.id: r.rate for r in out.collect()} == {1: None, 2: 0.9}
+
+
+def test_rows_without_a_key_are_kept_by_splits(spark):
+    df = spark.createDataFrame([(None, 1), (2, 2)], "id int, v int")
+    assert sum(p.count() for p in op.random_split(df, [0.5, 0.5], "id", 1)) == 2
+    assert op.kfold(df, 3, "id", 1).filter("fold IS NULL").count() == 0
+
+
 def test_bernoulli_rate_and_repeatability(spark, bands):
     df = spark.range(20_000).select("id", F.lit(30).alias("age"), F.lit(None).cast("double").alias("smoke"))
     out = op.impute_bernoulli(df, "smoke", bands, "age", "id", 1)
