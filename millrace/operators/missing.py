@@ -74,21 +74,28 @@ def binary_flag() -> Repair:
     return valid_code(lambda c: c <= 1)
 
 
-def repair(df: DataFrame, rules: Mapping[str, Repair]) -> DataFrame:
-    """Apply a rule to each of several columns. The mean of whole numbers is a double."""
+def repair(
+    df: DataFrame, rules: Mapping[str, Repair], fitted_on: DataFrame | None = None
+) -> DataFrame:
+    """Apply a rule to each of several columns. The mean of whole numbers is a double.
+
+    The statistics come from `df` itself or from the columns of another frame: the training
+    rows, or a table that `df` was joined with, which saves computing the join once more.
+    """
+    source = df if fitted_on is None else fitted_on
 
     def basis(c: str) -> Column:
-        over = rules[c].over
-        return present(df, c) if over is None else F.when(over(present(df, c)), present(df, c))
+        over, value = rules[c].over, present(source, c)
+        return value if over is None else F.when(over(value), value)
 
     means = [c for c in rules if rules[c].statistic == MEAN]
     modes = [c for c in rules if rules[c].statistic == MODE]
     holder = df
     if means:
-        holder = with_stats(holder, df.agg(*[F.avg(basis(c)).alias(c) for c in means]), "__mean")
+        holder = with_stats(holder, source.agg(*[F.avg(basis(c)).alias(c) for c in means]), "__mean")
     if modes:
         typed = {c: (basis(c), field(df, c).dataType) for c in modes}
-        holder = with_stats(holder, mode_stats(df, typed), "__mode")
+        holder = with_stats(holder, mode_stats(source, typed), "__mode")
 
     def repaired(c: str) -> Column:
         rule, value = rules[c], present(df, c)
@@ -114,9 +121,11 @@ def missing_profile(df: DataFrame, total: str = "n_rows") -> DataFrame:
     )
 
 
-def impute(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
+def impute(
+    df: DataFrame, fills: Mapping[str, object], fitted_on: DataFrame | None = None
+) -> DataFrame:
     """Fill missing values: each column by "mean", by "mode", or by the constant given."""
-    return repair(df, {c: Repair(fill) for c, fill in fills.items()})
+    return repair(df, {c: Repair(fill) for c, fill in fills.items()}, fitted_on)
 
 
 def replace_out_of_range(

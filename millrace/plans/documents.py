@@ -22,8 +22,9 @@ def flagged_share_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "lang", "n_chars"]
     documents = read_parquet(spark, f"{sf_dir}/documents.parquet").select(*columns)
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
+    documents = op.repair(documents, {"n_chars": op.in_range(1, 20_000)})
     df = documents.join(labels, "doc_id", "left")
-    df = op.repair(df, {"n_chars": op.in_range(1, 20_000), "toxic": op.Repair("mode")})
+    df = op.impute(df, {"toxic": "mode"}, fitted_on=labels)
     bands = literal_table(spark, LENGTH_BANDS, "lo double, hi double, rate double")
     df = op.impute_bernoulli(df, "quality", bands, "n_chars", "doc_id", seed=42)
     flagged = (F.col("quality") == 1) | (F.col("toxic") == 1)

@@ -32,6 +32,12 @@ def test_impute_mean_mode_and_constant_in_one_call(df):
     assert op.missing_profile(op.impute(df, {"x": "mean", "n": "mean", "s": "mode"})).first()[:4] == (0,) * 4
 
 
+def test_statistics_of_other_rows(spark, df):
+    test = spark.createDataFrame([(9, None, None, None)], df.schema)
+    out = op.impute(test, {"x": "mean", "n": "mode", "s": "mode"}, fitted_on=df)
+    assert out.first()[:] == (9, 4.0, 10, "a")
+
+
 def test_impute_of_empty_and_all_missing(spark):
     empty = spark.createDataFrame([], "id int, x double")
     assert op.impute(empty, {"x": "mean"}).count() == 0
