@@ -22,6 +22,7 @@ from millrace.operators.sizes import few_groups
 
 ACCURACY = 1000  # of the sketch that places the bounds: its rank error is n / ACCURACY
 MARGIN = 1.5 / ACCURACY  # half width, in probability, of the bracket around a quantile
+SALTS = 32  # parts of a group in a join by group
 BUCKET_BITS = 12  # 2**12 buckets for a running total
 
 
@@ -53,14 +54,16 @@ def quantile_table(
     small: bool = False,
     solid: Sequence[str] = (),
 ) -> DataFrame:
-    """Quantiles with linear interpolation of a numeric column, per group.
+    """Quantiles with linear interpolation of a numeric column, per group (one at least).
 
     Returns one row per group and probability: the groups, `prob`, `quantile`, `n` (non-null
     values of the group). The columns involved are scanned three times: for a sketch of fixed
     size per group, for the counts of buckets and their slices, and for the few rows that
     share a slice with a wanted rank. `small` says that the number of groups is known to be
     small: the per-group tables are then broadcast, and only those few rows are shuffled.
-    `solid` groups hold no nulls, so that plain equality will do.
+    Otherwise equal values of a group are counted first, and the join by group is salted by
+    value, so that a group with most of the rows is spread over many tasks. `solid` groups
+    hold no nulls, so that plain equality will do.
     """
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
     slices = 1000 if len(probs) <= 10 else 100
@@ -72,7 +75,7 @@ def quantile_table(
         pairs = [
             f"{a}.{_name(g)} {'=' if g in solid else '<=>'} {b}.{_name(g)}" for g in groups
         ]
-        return " AND ".join(pairs + [f"{a}.{k} = {b}.{k}" for k in keys]) or "true"
+        return " AND ".join(pairs + [f"{a}.{k} = {b}.{k}" for k in keys])
 
     def array(numbers: Sequence[float]) -> str:
         return "array(" + ", ".join(f"{float(x)!r}D" for x in numbers) + ")"
@@ -81,28 +84,39 @@ def quantile_table(
         return f"/*+ BROADCAST({table}) */" if small else ""
 
     g = listed()
-    by = f"PARTITION BY {g[:-2]}" if groups else ""
+    by = f"PARTITION BY {g[:-2]}"
+    if small:
+        counted = f"SELECT {g} v, 1 AS w FROM rows"
+        sketch = "sketched"
+        meet = matched("counted", "sketch")
+    else:
+        counted = f"""
+      SELECT {g} v, count(*) AS w, pmod(xxhash64(v), {SALTS}) AS salt FROM rows GROUP BY {g} v"""
+        sketch = f"""(
+      SELECT {g} bounds, explode(sequence(0L, {SALTS - 1}L)) AS salt FROM sketched)"""
+        meet = matched("counted", "sketch", ["salt"])
     statement = f"""
     WITH rows AS (
       SELECT {g} CAST({_name(value)} AS DOUBLE) AS v FROM {{df}} WHERE {_name(value)} IS NOT NULL
-    ), sketch AS (
+    ), sketched AS (
       SELECT {g} array_sort(array_distinct(
                percentile_approx(v, {array(cuts)}, {ACCURACY}))) AS bounds
-      FROM rows {"GROUP BY " + g[:-2] if groups else ""}
+      FROM rows GROUP BY {g[:-2]}
+    ), counted AS ({counted}
     ), searched AS (
-      SELECT {hint("sketch")} {listed("rows.")} v, bounds,
+      SELECT {hint("sketch")} {listed("counted.")} v, w, bounds,
            {_search("bounds", "v", len(cuts).bit_length())}
-      FROM rows JOIN sketch ON {matched("rows", "sketch")}
+      FROM counted JOIN {sketch} AS sketch ON {meet}
     ), placed AS (
-      SELECT {g} v, bucket,
+      SELECT {g} v, w, bucket,
              get(bounds, bucket - 1) AS below,
              get(bounds, bucket) - below AS width,
              IF(width > 0, least(floor((v - below) / width * {slices}), {slices}), 0) AS slice
       FROM searched
     ), spans AS (
-      SELECT {g} bucket, slice, count(*) AS size,
-             sum(count(*)) OVER ({by} ORDER BY bucket, slice) - count(*) AS start,
-             sum(count(*)) OVER ({by}) AS n
+      SELECT {g} bucket, slice, sum(w) AS size,
+             sum(sum(w)) OVER ({by} ORDER BY bucket, slice) - sum(w) AS start,
+             sum(sum(w)) OVER ({by}) AS n
       FROM placed GROUP BY {g} bucket, slice
     ), wanted AS (
       SELECT {g} bucket, slice, start, n, r.prob, r.weight, r.rank
@@ -113,7 +127,7 @@ def quantile_table(
              r -> r.rank >= start AND r.rank < start + size)) e AS r
     ), near AS (
       SELECT {hint("wanted")} {listed("wanted.")} n, prob, weight, rank, start, v,
-             count(*) AS size
+             sum(w) AS size
       FROM placed JOIN wanted ON {matched("placed", "wanted", ("bucket", "slice"))}
       GROUP BY {listed("wanted.")} n, prob, weight, rank, start, v
     ), found AS (

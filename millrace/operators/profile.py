@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import NUMERICS, col, columns_of, present, quoted
-from millrace.operators.order_statistics import quantiles, unpivot_doubles
-from millrace.operators.sizes import broadcast_if, few_groups
+from millrace.operators.order_statistics import SALTS, quantiles, unpivot_doubles
+from millrace.operators.sizes import few_groups
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -63,17 +63,25 @@ def box_stats(
     box = _quartiles(df, cols, by, exact, small)
     keys = [*by, "column"]
     same = [F.col(f"v.{quoted(k)}").eqNullSafe(F.col(f"b.{quoted(k)}")) for k in keys]
+    if small:
+        long, box = long.withColumn("w", F.lit(1)), F.broadcast(box)
+    else:  # count equal values first, and spread each group by value
+        salt = F.pmod(F.xxhash64("value"), F.lit(SALTS))
+        long = long.groupBy(*[col(k) for k in keys], "value").agg(F.count("*").alias("w"))
+        long = long.withColumn("salt", salt)
+        box = box.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same.append(F.col("v.salt") == F.col("b.salt"))
     margin = (F.col("q3") - F.col("q1")) * factor
     over, under = F.col("value") > F.col("q3") + margin, F.col("value") < F.col("q1") - margin
     inside = F.when(~over & ~under, F.col("value"))
     reduced = (
         long.alias("v")
-        .join(broadcast_if(small, box).alias("b"), same)
+        .join(box.alias("b"), same)
         .groupBy(*[F.col(f"b.{quoted(k)}").alias(k) for k in keys], *QUARTILES)
         .agg(
             F.min(inside).alias("lo"),
             F.max(inside).alias("hi"),
-            F.count_if(over | under).alias("n_outliers"),
+            F.sum(F.when(over | under, F.col("w")).otherwise(0)).alias("n_outliers"),
         )
     )
     return reduced.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import duckdb
 
@@ -42,6 +43,20 @@ def _rows(names: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
+def physical_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_faults(name: str, df) -> list[str]:
+    """What no plan may hold: Python workers, cross joins, nested loops but in band lookups."""
+    text = physical_plan(df)
+    faults = [w for w in ("EvalPython", "InPandas", "CartesianProduct") if w in text]
+    lookups = ("range_lookup", "impute_", "mean_of_two", "flagged")
+    if re.search("BroadcastNestedLoopJoin", text) and not name.startswith(lookups):
+        faults.append("BroadcastNestedLoopJoin")
+    return faults
+
+
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if names, kinds and all rows agree; otherwise the first thing that does not."""
     expected = con.execute(sql)

@@ -1,7 +1,7 @@
 """Every registered query, against its SQL where it has any."""
 
 import pytest
-from compare import connect, differences
+from compare import connect, differences, plan_faults
 
 from millrace.catalog import ORACLES, QUERIES
 
@@ -13,7 +13,9 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, sf_dir, con, name):
-    assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert plan_faults(name, df) == []
+    assert differences(df, con, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

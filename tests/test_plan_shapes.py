@@ -2,41 +2,22 @@
 
 import re
 
-import pytest
+from compare import physical_plan
 
 from millrace import operators as op
-from millrace.catalog import QUERIES
-
-TRAINED = {
-    "cv_choice", "final_report", "forest_accuracy", "forest_auc_grid", "lr_accuracy", "model_matrix",
-    "lr_multinomial_accuracy", "perturbation_test", "svm_accuracy", "svm_one_vs_rest_accuracy", "tree_accuracy",
-}
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))
-def test_no_python_workers_and_no_cross_join(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "EvalPython" not in text and "InPandas" not in text
-    assert "CartesianProduct" not in text
-    loops = re.findall(r"BroadcastNestedLoopJoin.*", text)
-    assert not loops or name.startswith(("range_lookup", "impute_", "mean_of_two", "flagged"))
 
 
 def test_statistics_are_subqueries_not_joins(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/events.parquet")
     rules = {"value": op.in_range(0, 150), "event_type": op.Repair("mode")}
-    text = plan(op.repair(df, rules))
+    text = physical_plan(op.repair(df, rules))
     assert "Join" not in text
     assert text.count("Subquery subquery") >= 2
 
 
 def test_columns_and_filters_reach_the_scan(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    text = plan(op.group_avg(op.filter_equal(df, "l_returnflag", "R"), ["l_linestatus"], "l_tax"))
+    text = physical_plan(op.group_avg(op.filter_equal(df, "l_returnflag", "R"), ["l_linestatus"], "l_tax"))
     assert "EqualTo(l_returnflag,R)" in text
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert sorted(c.split(":")[0] for c in schema.split(",")) == ["l_linestatus", "l_returnflag", "l_tax"]
@@ -45,9 +26,9 @@ def test_columns_and_filters_reach_the_scan(spark, sf_dir):
 def test_outer_join_with_a_small_reference_does_not_shuffle_the_rows(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/customer.parquet")
     ref = spark.createDataFrame([("BUILDING", 1.0)], "segment string, share double")
-    text = plan(op.join_reference(df, ref, ("c_mktsegment", "segment")))
+    text = physical_plan(op.join_reference(df, ref, ("c_mktsegment", "segment")))
     assert "SortMergeJoin" not in text and "FullOuter" not in text
-    big = plan(op.join_reference(df, ref, ("c_mktsegment", "segment"), max_rows=0))
+    big = physical_plan(op.join_reference(df, ref, ("c_mktsegment", "segment"), max_rows=0))
     assert "FullOuter" in big
 
 
@@ -70,13 +51,22 @@ def test_quantiles_without_broadcast(spark, sf_dir, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         found = op.quantiles(df, ["value"], [0.2, 0.7], ["event_type"])
-        assert "SortMergeJoin" in plan(found)
+        assert "SortMergeJoin" in physical_plan(found)
         assert {tuple(r) for r in found.collect()} == wanted
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_box_stats_without_broadcast(spark, sf_dir, monkeypatch):
+    from millrace.operators import profile
+
+    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    wanted = {tuple(r) for r in op.box_stats(df, ["value"], ["event_type"]).collect()}
+    monkeypatch.setattr(profile, "few_groups", lambda *_: False)
+    assert {tuple(r) for r in op.box_stats(df, ["value"], ["event_type"]).collect()} == wanted
+
+
 def test_deduplication_reduces_before_the_shuffle(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    text = plan(op.dedup_first(df, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
+    text = physical_plan(op.dedup_first(df, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
     assert "Window" not in text and "partial_min" in text
