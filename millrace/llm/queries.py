@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import boosted_rules, nbsvm
+from millrace.llm import boosted_rules, bpe, nbsvm, simhash
 from millrace.llm.labelled import remainder
 from millrace.llm.registry import query, table
 from millrace.llm.url_rules import url_verdicts
@@ -57,3 +58,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     trees = boosted_rules.fit_quality_trees(documents, labels, fits=F.lit(True))
     return boosted_rules.quality_rules(documents, trees, keep=("doc_id",))
+
+
+@query()
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+@query()
+def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
