@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import boosted_rules, bpe, nbsvm, simhash
+from millrace.llm import boosted_rules, bpe, katz, nbsvm, simhash, substring
 from millrace.llm.labelled import remainder
 from millrace.llm.registry import query, table
 from millrace.llm.url_rules import url_verdicts
@@ -76,3 +76,38 @@ def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+_WINDOW_WORDS = f"array_to_string(words[i:i + {substring.WINDOW - 1}], ' ')"
+
+
+@query(
+    f"""
+    WITH split AS (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+      FROM documents),
+    starts AS (
+      SELECT doc_id, words, unnest(generate_series(1, len(words) - {substring.WINDOW - 1})) AS i FROM split),
+    counted AS (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY {_WINDOW_WORDS}) AS n FROM starts),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(generate_series(i, i + {substring.WINDOW - 1})) AS place
+      FROM counted WHERE n > 1),
+    placed AS (
+      SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS place FROM split),
+    kept AS (
+      SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+      FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+      sha256(coalesce(text, '')) AS kept_sha256
+    FROM split LEFT JOIN kept USING (doc_id)
+    """
+)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(table(spark, sf_dir, "documents"), trains=remainder(F.col("doc_id"), 10) != 0)

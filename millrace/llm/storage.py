@@ -10,30 +10,34 @@ from pyspark.sql import functions as F
 from millrace.sources.scratch import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """Spark deletes the shuffle files of each action that ends in here.
-
-    Nothing written in here is computed again from those files: its rows are in the table.
-    """
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def _settings(spark: SparkSession, **values: str):
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, rows_per_batch: int | None = None) -> DataFrame:
     """`df` as a table in the folder of `spark.checkpoint.dir`, read again.
 
-    This cuts the lineage: executors lost later cost no more than reading the table anew.
+    This cuts the lineage: executors lost later cost no more than reading the table anew. The
+    shuffle files of the job are deleted with its end, as all of its rows are in the table then.
+    `rows_per_batch` says how many rows go to Python at a time, where rows are large.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    with _shuffles_removed(spark):
+    settings = {_CLEANUP: "true"}
+    if rows_per_batch:
+        settings[_BATCH] = str(rows_per_batch)
+    with _settings(spark, **settings):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
