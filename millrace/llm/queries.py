@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import boosted_rules, bpe, katz, nbsvm, simhash, substring
+from millrace.llm.decontaminate import contaminated
 from millrace.llm.labelled import remainder
 from millrace.llm.registry import query, table
 from millrace.llm.url_rules import url_verdicts
@@ -111,3 +112,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_texts(table(spark, sf_dir, "documents"), trains=remainder(F.col("doc_id"), 10) != 0)
+
+
+@query()
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
