@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import boosted_rules, bpe, katz, nbsvm, simhash, substring
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.fuzzy_lines import dedup_lines
 from millrace.llm.labelled import remainder
+from millrace.llm.preference import preference_rows
 from millrace.llm.registry import query, table
 from millrace.llm.url_rules import url_verdicts
 
@@ -117,3 +119,64 @@ def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _sql_side(name: str) -> str:
+    return f"""
+      SELECT t.pair_id, string_agg(line, '' ORDER BY i) AS words,
+        string_agg((stop - length(line) + length(head)) || ':' || (stop - 1), ',' ORDER BY i)
+          FILTER (WHERE role = 'assistant') AS mask
+      FROM (SELECT *, sum(length(line)) OVER (PARTITION BY t.pair_id ORDER BY i) AS stop
+            FROM {name} t JOIN prompts USING (pair_id) WHERE i > n) t GROUP BY t.pair_id"""
+
+
+@query(
+    f"""
+    WITH turns AS (
+      SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+    other AS (
+      SELECT * FROM turns WHERE turn < 1 + pair_id % 3
+      UNION ALL
+      SELECT xor(pair_id, 1), turn, role, text FROM turns WHERE turn >= 1 + xor(pair_id, 1) % 3),
+    chosen AS (
+      SELECT *, '<|' || role || '|>' || chr(10) AS head, head || text || '<|end|>' || chr(10) AS line,
+        row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) AS i FROM turns),
+    rejected AS (
+      SELECT *, '<|' || role || '|>' || chr(10) AS head, head || text || '<|end|>' || chr(10) AS line,
+        row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) AS i FROM other),
+    prompts AS (
+      SELECT pair_id, coalesce(min(i) FILTER (WHERE c.line IS DISTINCT FROM r.line) - 1, count(*)) AS n
+      FROM chosen c FULL JOIN rejected r USING (pair_id, i) GROUP BY pair_id
+      HAVING count(c.line) > 0 AND count(r.line) > 0),
+    prompt AS (
+      SELECT pair_id, string_agg(line, '' ORDER BY i) AS words
+      FROM chosen JOIN prompts USING (pair_id) WHERE i <= n GROUP BY pair_id),
+    c AS ({_sql_side("chosen")}),
+    r AS ({_sql_side("rejected")})
+    SELECT pair_id, n::INTEGER AS prompt_turns, coalesce(prompt.words, '') AS prompt,
+      coalesce(c.words, '') AS chosen, coalesce(r.words, '') AS rejected,
+      coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
+    FROM prompts LEFT JOIN prompt USING (pair_id) LEFT JOIN c USING (pair_id) LEFT JOIN r USING (pair_id)
+    """
+)
+def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen is each conversation; rejected begins like it and goes on like its neighbour."""
+    turns = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "pair_id")
+    own = 1 + F.col("pair_id") % 3
+    neighbour = turns.withColumn("pair_id", F.col("pair_id").bitwiseXOR(F.lit(1).cast("long")))
+    rejected = turns.where(F.col("turn") < own).unionByName(neighbour.where(F.col("turn") >= own))
+    rows = preference_rows(turns, rejected)
+
+    def written_out(mask: str) -> Column:
+        spans = F.transform(mask, lambda s: F.concat_ws(":", s["start"], s["end"]))
+        return F.array_join(spans, ",").alias(mask)
+
+    return rows.select(
+        "pair_id", "prompt_turns", "prompt", "chosen", "rejected", written_out("chosen_mask"), written_out("rejected_mask")
+    )
