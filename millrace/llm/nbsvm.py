@@ -137,7 +137,7 @@ def fit(found: list[np.ndarray], y: np.ndarray, *, bits: int = BITS, cost: float
         return Classifier(ratio * w, ratio**2, bias, 1.0, 0.0)
 
     margin = np.zeros(len(y))
-    fold = np.arange(len(y)) % folds
+    fold = np.random.default_rng(11).permutation(len(y)) % folds
     for k in range(folds):
         rest = np.flatnonzero(fold == k)
         margin[rest] = learn(np.flatnonzero(fold != k)).margins([found[i] for i in rest])
