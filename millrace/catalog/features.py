@@ -89,15 +89,25 @@ def label_encode(spark: SparkSession, sf: str) -> DataFrame:
     return op.label_encode(df, ["o_orderpriority"]).drop("o_orderpriority")
 
 
-@query("""
-SELECT p_partkey, c.code AS p_name_encoded
-FROM part JOIN (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS code
-                FROM part GROUP BY 1) c USING (p_name)
+_MANY = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity < 10 THEN NULL WHEN l_quantity < 25 THEN 'none' ELSE md5(l_orderkey::VARCHAR) END AS tag
+FROM lineitem
+"""
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, c.code AS tag_encoded
+FROM ({_MANY}) LEFT JOIN (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS code
+                FROM ({_MANY}) WHERE tag IS NOT NULL GROUP BY 1) c USING (tag)
 """)
 def label_encode_many(spark: SparkSession, sf: str) -> DataFrame:
-    """Codes of a column whose dictionary grows with the table."""
-    df = table(spark, sf, "part").select("p_partkey", "p_name")
-    return op.label_encode(df, ["p_name"]).drop("p_name")
+    """Codes of a column whose dictionary grows with the table, with a frequent value and nulls."""
+    tag = F.when(F.col("l_quantity") >= 25, F.md5(F.col("l_orderkey").cast("string").cast("binary"))).when(
+        F.col("l_quantity") >= 10, "none"
+    )
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", tag.alias("tag"))
+    return op.label_encode(df, ["tag"]).drop("tag")
 
 
 @query("""
@@ -177,8 +187,12 @@ def row_uniform(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", hash_uniform(F.col("doc_id"), 42).alias("u"))
 
 
-@query()
+@query(f"""
+SELECT event_id, round(value + 0.1::DOUBLE * sqrt(-2 * ln(1 - {uniform_sql("event_id", "3:0:1")}))
+  * cos(2 * pi() * {uniform_sql("event_id", "3:0:2")}), 9) AS value
+FROM events
+""")
 def perturb_values(spark: SparkSession, sf: str) -> DataFrame:
     """Normal noise on a column, the same in every run."""
     df = table(spark, sf, "events").select("event_id", "value")
-    return op.perturb(df, ["value"], 0.1, "event_id", 3)
+    return op.round_columns(op.perturb(df, ["value"], 0.1, "event_id", 3), ["value"], 9)

@@ -45,18 +45,16 @@ def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query(_CUSTOMER)
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     df, path = table(spark, sf, "customer"), sources.scratch_path(spark, "parquet")
-    sources.write_parquet(df, path, partitions=1)
+    sources.write_parquet(df, path)
     return sources.read_parquet(spark, path)
 
 
 @query("SELECT c_custkey, c_name FROM customer")
 def text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of text in one file, split again after reading."""
+    """Lines of text, split again after reading."""
     path = sources.scratch_path(spark, "text")
-    sources.write_text(table(spark, sf, "customer").select("c_custkey", "c_name"), path, partitions=1)
-    parts = F.split("value", "\t")
-    lines = sources.read_text(spark, path)
-    return lines.select(parts[0].cast("bigint").alias("c_custkey"), parts[1].alias("c_name"))
+    sources.write_text(table(spark, sf, "customer").select("c_custkey", "c_name"), path)
+    return sources.split_lines(sources.read_text(spark, path), "c_custkey bigint, c_name string")
 
 
 @query(_CUSTOMER)

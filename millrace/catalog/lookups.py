@@ -169,18 +169,64 @@ def flagged_share_by_language(spark: SparkSession, sf: str) -> DataFrame:
     return op.round_columns(op.round_columns(df, ["rate"], 9), ["mean_length"], 6)
 
 
-_SHARES = [("BUILDING", 47.35, 41.81), ("MACHINERY", 67.54, 68.33), ("UNKNOWN", 3.58, 11.61),
-           ("FURNITURE", 10.82, 15.09)]
+_SHARES = """
+SELECT c_mktsegment AS segment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY 1 UNION ALL SELECT 'NONE', 0, 0.0
+"""
+
+
+def _shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of the customers of each segment but one, and of a segment without customers."""
+    known = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "AUTOMOBILE")
+    shares = known.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")
+    )
+    none = literal_table(spark, [("NONE", 0, 0.0)], "segment string, customers bigint, balance double")
+    return op.union_all([shares, none])
 
 
 @query(f"""
-SELECT c_custkey, c_mktsegment, segment, first_share, second_share
-FROM customer FULL OUTER JOIN {values_sql(_SHARES, ["VARCHAR", "DOUBLE", "DOUBLE"],
-                                          ["segment", "first_share", "second_share"])}
-ON c_mktsegment = segment
+SELECT c_custkey, c_mktsegment, segment, customers, balance
+FROM customer FULL OUTER JOIN ({_SHARES}) ON c_mktsegment = segment
 """)
 def join_reference_outer(spark: SparkSession, sf: str) -> DataFrame:
-    """Full outer join with a table of four rows, one of which no row matches."""
-    ref = literal_table(spark, _SHARES, "segment string, first_share double, second_share double")
+    """Full outer join with a small table: one of its rows, and some of the others, have no match."""
     df = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return op.join_reference(df, ref, ("c_mktsegment", "segment"))
+    return op.join_reference(df, _shares(spark, sf), ("c_mktsegment", "segment"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, o_custkey, o_totalprice
+FROM lineitem FULL OUTER JOIN orders ON l_orderkey = o_orderkey AND l_orderkey % 3 <> 0
+""")
+def join_reference_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Full outer join with a table that grows with the data; a third of the rows have no key."""
+    key = F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey")).alias("key")
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return op.join_reference(df, orders, ("key", "o_orderkey")).drop("key", "o_orderkey")
+
+
+_EVENT_BANDS = """
+SELECT event_type AS kind, user_id * 10.0 AS lo, user_id * 10.0 + 6 AS hi, count(*) AS rate
+FROM events GROUP BY 1, user_id
+"""
+
+
+@query(f"""
+SELECT event_id, b.rate
+FROM (SELECT event_id, CASE WHEN event_id % 5 > 0 THEN event_type END AS kind,
+             CASE WHEN event_id % 4 = 0 THEN 12.0 WHEN event_id % 4 = 1 THEN NULL ELSE user_id * 10.0 + value END AS x
+      FROM events) e
+LEFT JOIN ({_EVENT_BANDS}) b ON e.kind = b.kind AND e.x BETWEEN b.lo AND b.hi
+""")
+def range_lookup_many_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Many bands in several groups; one value in a quarter of the rows, and missing ones."""
+    df = table(spark, sf, "events")
+    ten = F.col("user_id") * F.lit(10.0)
+    bands = df.groupBy(F.col("event_type").alias("kind"), "user_id").agg(F.count("*").alias("rate"))
+    bands = bands.select("kind", ten.alias("lo"), (ten + 6).alias("hi"), "rate")
+    x = F.when(F.col("event_id") % 4 == 0, 12.0).when(F.col("event_id") % 4 > 1, ten + F.col("value"))
+    kind = F.when(F.col("event_id") % 5 > 0, F.col("event_type"))
+    rows = df.select("event_id", kind.alias("kind"), x.alias("x"))
+    return op.range_lookup(rows, bands, "x", by=["kind"]).select("event_id", "rate")

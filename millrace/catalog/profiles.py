@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace import operators as op
 from millrace.catalog.registry import query, table
-from millrace.operators.profile import normal_grid
+from millrace.operators.profile import (
+    SCORE_A,
+    SCORE_B,
+    SCORE_C,
+    SCORE_D,
+    SCORE_TAIL,
+    normal_grid,
+)
 
 _NUMERIC = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -70,13 +77,42 @@ def qq_points(spark: SparkSession, sf: str) -> DataFrame:
     return op.round_columns(df, ["ordered"], 6)
 
 
+def _poly_sql(x: str, numbers: list[float]) -> str:
+    total = repr(numbers[0]) + "::DOUBLE"
+    for c in numbers[1:]:
+        total = f"({total} * {x} + {c!r}::DOUBLE)"
+    return total
+
+
+_QQ_ROWS = f"""
+SELECT rank, ordered, CASE
+    WHEN p < {SCORE_TAIL}::DOUBLE THEN {_poly_sql("s", [*SCORE_C])} / {_poly_sql("s", [*SCORE_D, 1.0])}
+    WHEN p > 1 - {SCORE_TAIL}::DOUBLE THEN -{_poly_sql("s", [*SCORE_C])} / {_poly_sql("s", [*SCORE_D, 1.0])}
+    ELSE {_poly_sql("r", [*SCORE_A])} * q / {_poly_sql("r", [*SCORE_B, 1.0])} END AS theoretical
+FROM (SELECT *, p - 0.5::DOUBLE AS q, (p - 0.5::DOUBLE) * (p - 0.5::DOUBLE) AS r,
+             sqrt(-2 * ln(least(p, 1 - p))) AS s
+      FROM (SELECT rank, ordered, CASE WHEN rank = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                   WHEN rank = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                   ELSE (rank - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p
+            FROM (SELECT value AS ordered, row_number() OVER (ORDER BY value) AS rank, count(*) OVER () AS n
+                  FROM events WHERE value IS NOT NULL)))
+"""
+
+
+@query(f"SELECT rank, round(theoretical, 6) AS theoretical, ordered FROM ({_QQ_ROWS})")
+def qq_all_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every value with its rank and the normal quantile of its plotting position."""
+    return op.round_columns(op.qq_rows(table(spark, sf, "events"), "value"), ["theoretical"], 6)
+
+
 @query(f"""
 SELECT round(regr_slope(ordered, theoretical), 6) AS slope,
        round(regr_intercept(ordered, theoretical), 6) AS intercept,
-       round(corr(ordered, theoretical), 6) AS r FROM ({_QQ})
+       round(corr(ordered, theoretical), 6) AS r FROM ({_QQ_ROWS})
 """)
 def qq_line(spark: SparkSession, sf: str) -> DataFrame:
-    df = op.qq_line(op.qq_points(table(spark, sf, "events"), "value"))
+    """The line through all points of the Q-Q plot."""
+    df = op.qq_line(op.qq_rows(table(spark, sf, "events"), "value"))
     return op.round_columns(df, df.columns, 6)
 
 

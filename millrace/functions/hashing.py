@@ -15,20 +15,15 @@ _DIGITS = 13  # hexadecimal digits taken from the digest: 52 bits, exact in a do
 _SPAN = float(1 << (4 * _DIGITS))
 
 
-def hash_uniform(key: Column, seed: int | str) -> Column:
-    """Uniform number in [0, 1) made from the MD5 digest of `key:seed`."""
-    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+def hash_uniform(key: Column, *parts: Column | int | str) -> Column:
+    """Uniform number in [0, 1) made from the MD5 digest of `key:part:...`, the seed first."""
+    rest = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), *[F.concat(F.lit(":"), p) for p in rest])
     digest = F.md5(text.cast("binary"))
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("bigint") / F.lit(_SPAN)
 
 
 def hash_normal(key: Column, *parts: Column | int | str) -> Column:
-    """Standard normal number from two 64-bit hashes of the key and `parts` (Box-Muller)."""
-    rest = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-
-    def unit(salt: int) -> Column:
-        return (F.shiftrightunsigned(F.xxhash64(key, *rest, F.lit(salt)), 11) + 0.5) / F.lit(
-            float(1 << 53)
-        )
-
-    return F.sqrt(F.lit(-2.0) * F.log(unit(1))) * F.cos(F.lit(2.0 * math.pi) * unit(2))
+    """Standard normal number from two uniform ones of the key and `parts` (Box-Muller)."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(1 - hash_uniform(key, *parts, 1)))
+    return radius * F.cos(F.lit(2.0 * math.pi) * hash_uniform(key, *parts, 2))

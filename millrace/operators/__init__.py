@@ -64,6 +64,7 @@ from millrace.operators.profile import (
     pair_stats,
     qq_line,
     qq_points,
+    qq_rows,
 )
 from millrace.operators.project import (
     apply_columns,

@@ -69,16 +69,19 @@ def conditional_means(df: DataFrame, name: str, conditions: Mapping[str, Column]
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Number of distinct non-null values per column: rows (column, n_distinct)."""
+    """Number of distinct non-null values per column: rows (column, n_distinct).
+
+    Values are compared as what they are: 0.0 equals -0.0, and arrays are equal by elements.
+    The exact form spreads the distinct values of all columns over the cluster.
+    """
     if not exact:
-        counts = df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in cols])
-        pairs = [F.struct(F.lit(c).alias("column"), col(c).alias("n_distinct")) for c in cols]
-        return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    pairs = [
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in cols
-    ]
-    values = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
-    return values.groupBy("column").agg(F.count("value").alias("n_distinct"))
+        return _long(df.agg(*[F.approx_count_distinct(col(c)).alias(c) for c in cols]), cols)
+    return _long(df.agg(*[F.count_distinct(col(c)).alias(c) for c in cols]), cols)
+
+
+def _long(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    pairs = [F.struct(F.lit(c).alias("column"), col(c).alias("n_distinct")) for c in cols]
+    return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
 
 
 def row_count(df: DataFrame, out: str = "n") -> DataFrame:

@@ -13,10 +13,13 @@ from millrace.functions.columns import FLOATS, col, field, present, quoted
 from millrace.functions.hashing import hash_normal
 from millrace.operators.order_statistics import dense_codes, running_total
 from millrace.operators.project import replace_columns
-from millrace.operators.sizes import broadcast_if, few_groups
+from millrace.operators.sizes import few_groups
 from millrace.operators.statistics import stat, with_stats
 
 
+SALTS = 8  # parts of a value's rows in a join with a large code table
+
+
 def log1p(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return replace_columns(df, {c: F.log1p(col(c)) for c in cols})
 
@@ -118,10 +121,22 @@ def minmax_apply(df: DataFrame, params: DataFrame, cols: Sequence[str]) -> DataF
 
 
 def _attach(df: DataFrame, codes: DataFrame, name: str, out: str) -> DataFrame:
-    """Left join of a code table (value, code) on its value."""
+    """Left join of a code table (value, code) on its value.
+
+    A large code table is joined by value and salt, so that the rows of a frequent value are
+    spread over several tasks; rows without a value stay out of the join.
+    """
     side = codes.select(col(name).alias("__value"), F.col("code").alias(out))
-    side = broadcast_if(few_groups(df, [name]), side)
-    return df.join(side, col(name) == F.col("__value"), "left").drop("__value")
+    if few_groups(df, [name]):
+        return df.join(F.broadcast(side), col(name) == F.col("__value"), "left").drop("__value")
+    salted = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = df.filter(col(name).isNotNull()).withColumn(
+        "__row_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    )
+    met = (col(name) == F.col("__value")) & (F.col("__row_salt") == F.col("__salt"))
+    coded = rows.join(salted, met, "left").drop("__value", "__salt", "__row_salt")
+    none = F.lit(None).cast(side.schema[out].dataType).alias(out)
+    return coded.union(df.filter(col(name).isNull()).select("*", none))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_encoded") -> DataFrame:

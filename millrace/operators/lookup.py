@@ -8,15 +8,19 @@ broadcast; larger ones take another way to the same result.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, field, present
 from millrace.functions.hashing import hash_uniform
-from millrace.operators.sizes import MAX_ROWS, fits_broadcast
+from millrace.operators.order_statistics import bucketed
+from millrace.operators.sizes import MAX_ROWS, broadcast_if, fits_broadcast
 
 MAX_SCANNED_BANDS = 64  # bands that are compared one by one with every row
+SALTS = 8  # parts of a bucket's rows
 
 
 def join_reference(
@@ -24,23 +28,35 @@ def join_reference(
 ) -> DataFrame:
     """Full outer join with a reference table on one key per side; both keys are kept.
 
-    A full outer join cannot broadcast, and shuffling by a key of few values puts most rows
-    into few tasks. With a small reference the rows are matched where they lie, and the
-    reference rows that no row matches are appended: their keys are found by a semi join
-    that is reduced map-side to the reference's size.
+    The result has the columns of `df` and then those of `ref`, also where both have a name. A
+    full outer join cannot broadcast, and shuffling by a key of few values puts most rows into
+    few tasks. Here rows are matched with a left join, and the reference rows that no row
+    matches are appended: their keys are found by a semi join that is reduced map-side. A
+    reference of at most `max_rows` rows is broadcast, so rows are matched where they lie; with
+    a larger one the left join is one whose frequent keys Spark can split. Rows without a key
+    take no part in the joins.
     """
     left, right = on
-    if not fits_broadcast(ref, max_rows):
-        return df.join(ref, col(left) == col(right), "full_outer")
-    matched = df.join(F.broadcast(ref), col(left) == col(right), "left")
-    keys = ref.select(col(right).alias("__ref_key"))
+    small = fits_broadcast(ref, max_rows)
+    names = [f"__ref_{i}" for i in range(len(ref.columns))]
+    side = ref.toDF(*names)
+    key = names[ref.columns.index(right)]
+    both = [*df.columns, *ref.columns]
+    keyed = df.filter(col(left).isNotNull())
+    matched = keyed.join(broadcast_if(small, side), col(left) == col(key), "left")
+    apart = df.filter(col(left).isNull()).select("*", *_nulls(side))
     seen = (
-        df.select(col(left).alias("__key"))
-        .join(F.broadcast(keys), F.col("__key") == F.col("__ref_key"), "left_semi")
+        keyed.select(col(left).alias("__key"))
+        .join(broadcast_if(small, side.select(key)), F.col("__key") == col(key), "left_semi")
         .distinct()
     )
-    unmatched = ref.join(seen, col(right) == F.col("__key"), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    unmatched = side.join(seen, col(key) == F.col("__key"), "left_anti").select(*_nulls(df), *names)
+    return matched.union(apart).union(unmatched).toDF(*both)
+
+
+def _nulls(df: DataFrame) -> list[Column]:
+    """A null in the place of every column."""
+    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
 
 
 def range_lookup(
@@ -56,8 +72,10 @@ def range_lookup(
 
     `by` columns must be equal on both sides. Bands of a group are taken not to overlap; a
     row in several gets one output row for each. A few bands are broadcast and compared one
-    by one; many are first spread over as many bins as there are bands, and the rows meet
-    them by an equality join on the bin.
+    by one. Many are sorted into buckets: the bounds are up to 4,095 of the bands' own lower
+    ends, within their groups, so that buckets hold equally many bands, and a band is in every
+    bucket it reaches into. Rows meet bands by bucket and salt, which spreads a frequent value
+    over several tasks; rows without a value or a group take no part.
     """
     out = out or value
     left = [c for c in df.columns if c != out]
@@ -72,26 +90,33 @@ def range_lookup(
     inside = (at >= F.col("__lo")) & (F.col("__hi").isNull() | (at <= F.col("__hi")))
     for b, n in names.items():
         inside = inside & (col(b) == F.col(n))
-    size, first, last = side.agg(
-        F.count("*"),
-        F.min("__lo").cast("double"),
-        F.max(F.greatest("__lo", "__hi")).cast("double"),
-    ).first()
-    rows = df
-    if size <= max_scanned:
-        side = F.broadcast(side)
-    else:
-        step = max((last - first) / size, 1e-300)
-
-        def bin_of(c: Column) -> Column:
-            return F.least(F.floor((c - F.lit(first)) / F.lit(step)), F.lit(size))
-
-        top = F.coalesce(bin_of(F.col("__hi")), F.lit(size))
-        side = side.withColumn("__bin", F.explode(F.sequence(bin_of(F.col("__lo")), top)))
-        rows = df.withColumn("__x_bin", bin_of(at))
-        inside = (F.col("__x_bin") == F.col("__bin")) & inside
-    joined = rows.join(side, inside, "left")
-    return joined.select(*[col(c) for c in left], F.col("__value").alias(out))
+    if fits_broadcast(side, max_scanned):
+        joined = df.join(F.broadcast(side), inside, "left")
+        return joined.select(*[col(c) for c in left], F.col("__value").alias(out))
+    known = reduce(and_, [col(b).isNotNull() for b in by], at.isNotNull())
+    ends = side.select(
+        "*",
+        F.struct(*names.values(), F.col("__lo").cast("double").alias("x")).alias("__from"),
+        F.struct(
+            *names.values(), F.coalesce(F.col("__hi").cast("double"), F.lit(float("inf"))).alias("x")
+        ).alias("__to"),
+    )
+    keyed = df.filter(known).select(
+        "*",
+        F.struct(*[col(b).alias(n) for b, n in names.items()], at.cast("double").alias("x")).alias("__at"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("__row_salt"),
+    )
+    spread = (
+        bucketed(bucketed(ends, "__from", ends, "__from", "__first"), "__to", ends, "__from", "__last")
+        .withColumn("__bucket", F.explode(F.sequence("__first", "__last")))
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    rows = bucketed(keyed, "__at", ends, "__from", "__row_bucket")
+    met = (F.col("__row_bucket") == F.col("__bucket")) & (F.col("__row_salt") == F.col("__salt"))
+    joined = rows.join(spread, met & inside, "left")
+    found = joined.select(*[col(c) for c in left], F.col("__value").alias(out))
+    none = F.lit(None).cast(side.schema["__value"].dataType).alias(out)
+    return found.union(df.filter(~known).select(*[col(c) for c in left], none))
 
 
 def scale_rates(bands: DataFrame, ratio: float | Column, value: str = "rate") -> DataFrame:

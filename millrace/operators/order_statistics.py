@@ -134,11 +134,13 @@ def quantile_table(
       SELECT *, start + sum(size) OVER (PARTITION BY {g} prob, rank ORDER BY v) AS until
       FROM near
     )
-    SELECT {g} prob, min(v) + (max(v) - min(v)) * weight AS quantile, n
+    SELECT {g} prob, n,
+           IF(min(v) = max(v), min(v), min(v) + (max(v) - min(v)) * weight) AS quantile
     FROM found WHERE rank < until AND rank >= until - size
     GROUP BY {g} prob, weight, n
     """
-    return df.sparkSession.sql(statement, df=df)
+    names = [*groups, "prob", "quantile", "n"]
+    return df.sparkSession.sql(statement, df=df).select(*[col(c) for c in names])
 
 
 def unpivot_doubles(
@@ -211,6 +213,26 @@ def quantile_row(
     )
 
 
+def bucketed(df: DataFrame, value: str, ends: DataFrame, end: str, out: str) -> DataFrame:
+    """Add the number of bounds below `value`; bounds are values of `end`, at most 2**12 - 1.
+
+    The bounds are those with the smallest hashes, so buckets hold equally many of the `ends`.
+    """
+    items = _search("bounds", "v", BUCKET_BITS).replace(" AS bucket", f" AS {quoted(out)}")
+    kept = ", ".join(_name(c) for c in df.columns)
+    statement = f"""
+    SELECT {kept}, {quoted(out)} FROM (
+      SELECT *, (
+        SELECT array_sort(collect_set(o)) FROM (
+          SELECT {_name(end)} AS o FROM {{ends}} ORDER BY xxhash64({_name(end)}), {_name(end)}
+          LIMIT {(1 << BUCKET_BITS) - 1})
+        ) AS bounds, {_name(value)} AS v,
+        {items}
+      FROM {{df}})
+    """
+    return df.sparkSession.sql(statement, df=df, ends=ends)
+
+
 def running_total(distinct: DataFrame, order: str, sums: Mapping[str, str]) -> DataFrame:
     """Add, for each row, sums of columns over all rows with a lower `order` value.
 

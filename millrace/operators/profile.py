@@ -3,17 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import NUMERICS, col, columns_of, present, quoted
-from millrace.operators.order_statistics import SALTS, quantiles, unpivot_doubles
+from millrace.operators.order_statistics import SALTS, quantiles, running_total, unpivot_doubles
 from millrace.operators.sizes import few_groups
+from millrace.operators.statistics import stat, with_stats
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
+# Coefficients of Acklam's approximation of the normal quantile.
+SCORE_A = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02,
+           1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
+SCORE_B = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02,
+           6.680131188771972e01, -1.328068155288572e01)
+SCORE_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00,
+           -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00)
+SCORE_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00,
+           3.754408661907416e00)
+SCORE_TAIL = 0.02425
+
 
 def _quartiles(
     df: DataFrame, cols: Sequence[str], by: Sequence[str], exact: bool, small: bool
@@ -99,7 +112,10 @@ def normal_grid(grid: int) -> list[float]:
 
 
 def qq_points(df: DataFrame, name: str, grid: int = 99, exact: bool = True) -> DataFrame:
-    """Rows (i, theoretical, ordered): normal quantiles against the column's own."""
+    """Rows (i, theoretical, ordered): normal quantiles against the column's own, on a grid.
+
+    A summary of fixed size for a plot; `qq_rows` has every row.
+    """
     table = quantiles(df, [name], [i / (grid + 1) for i in range(1, grid + 1)], exact=exact)
     i = F.round(F.col("prob") * (grid + 1)).cast("int")
     normal = F.array(*[F.lit(z) for z in normal_grid(grid)])
@@ -108,6 +124,47 @@ def qq_points(df: DataFrame, name: str, grid: int = 99, exact: bool = True) -> D
     )
 
 
+def normal_score(p: Column) -> Column:
+    """The standard normal quantile of a probability, to a relative error of 1.2e-9.
+
+    Acklam's rational approximation: one for the middle, one for both tails.
+    """
+
+    def poly(x: Column, numbers: Sequence[float]) -> Column:
+        return reduce(lambda total, c: total * x + c, numbers[1:], F.lit(numbers[0]))
+
+    q = p - 0.5
+    r = q * q
+    middle = poly(r, SCORE_A) * q / poly(r, [*SCORE_B, 1.0])
+    s = F.sqrt(-2 * F.log(F.least(p, 1 - p)))
+    tail = poly(s, SCORE_C) / poly(s, [*SCORE_D, 1.0])
+    return F.when(p < SCORE_TAIL, tail).when(p > 1 - SCORE_TAIL, -tail).otherwise(middle)
+
+
+def qq_rows(df: DataFrame, name: str) -> DataFrame:
+    """Rows (rank, theoretical, ordered), one for every present value of a column.
+
+    The plotting positions are the medians of order statistics: 1 - 0.5^(1/n) and 0.5^(1/n) at
+    the ends, (rank - 0.3175) / (n + 0.365) between. Equal values are counted in parts before
+    they are ranked, and rows are made of the counts, so no value gathers in one task.
+    """
+    value = present(df, name).cast("double")
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    parts = df.select(value.alias("value"), part.alias("part")).filter(F.col("value").isNotNull())
+    counted = parts.groupBy("value", "part").agg(F.count("*").alias("size"))
+    counted = counted.select(F.struct("value", "part").alias("order"), "size")
+    ranked = with_stats(running_total(counted, "order", {"below": "size"}), df.agg(F.count(value).alias("n")))
+    rows = ranked.select(
+        F.col("order.value").alias("ordered"),
+        stat("n").alias("n"),
+        F.explode(F.sequence(F.col("below") + 1, F.col("below") + F.col("size"))).alias("rank"),
+    )
+    end = F.pow(F.lit(0.5), F.lit(1.0) / F.col("n"))
+    between = (F.col("rank") - 0.3175) / (F.col("n") + 0.365)
+    p = F.when(F.col("rank") == F.col("n"), end).when(F.col("rank") == 1, 1 - end).otherwise(between)
+    return rows.select("rank", normal_score(p).alias("theoretical"), "ordered")
+
+
 def qq_line(points: DataFrame) -> DataFrame:
     """One row: least-squares slope, intercept and correlation of Q-Q points."""
     return points.agg(

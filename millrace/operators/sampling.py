@@ -58,9 +58,11 @@ def stratified_column(
 
     The last flagged row of each label is found by counting hash buckets, which are even by
     construction, and by ranking one bucket per label. So a label that most rows share is
-    never gathered in one task, and the rows themselves are not shuffled.
+    never gathered in one task, and the rows themselves are not shuffled while the labels are few
+    enough for a broadcast; otherwise two joins by label and bucket or label shuffle them.
     """
     u = hash_uniform(col(key), seed)
+    small = few_groups(df, [label])
     hashed = df.select(
         col(label).alias("__label"),
         col(key).alias("__key"),
@@ -80,7 +82,7 @@ def stratified_column(
     within = Window.partitionBy("__label", "__bucket").orderBy("__u", "__key")
     last = (
         hashed.join(
-            edge,
+            broadcast_if(small, edge),
             F.col("__label").eqNullSafe(F.col("__l")) & (F.col("__bucket") == F.col("__b")),
         )
         .withColumn("__n", F.row_number().over(within))
@@ -88,8 +90,7 @@ def stratified_column(
         .select("__l", F.struct("__u", "__key").alias("__last"))
     )
     own = F.struct(u.alias("__u"), col(key).alias("__key"))
-    last = broadcast_if(few_groups(df, [label]), last)
-    flagged = df.join(last, col(label).eqNullSafe(F.col("__l")), "left")
+    flagged = df.join(broadcast_if(small, last), col(label).eqNullSafe(F.col("__l")), "left")
     return flagged.select(
         *[col(c) for c in df.columns],
         F.coalesce(own <= F.col("__last"), F.lit(False)).alias(out),

@@ -29,7 +29,7 @@ MARITAL_STATUS_SCHEMA = "marital_status_statistics string, male double, female d
 
 def read_census(spark: SparkSession, path: str) -> DataFrame:
     """Whole numbers as integers, strings without blanks around them."""
-    df = read_csv(spark, path, SCHEMA)
+    df = read_csv(spark, path, SCHEMA, strip=True)
     return op.trim_strings(op.cast_where(df, T.FloatType, "int"))
 
 

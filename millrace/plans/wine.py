@@ -19,7 +19,7 @@ LABEL = "Wine"
 TEST_SHARE = 0.2
 OUTLIER_STD = 3.0
 TOLERANCE = 0.01
-PERTURBATION_STD = 0.01
+PERTURBATION_STD = 1.2
 MAX_TRIALS = 50
 CONFIDENCE = 0.95
 SEED = 42

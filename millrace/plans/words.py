@@ -12,8 +12,8 @@ def frequent_words(spark: SparkSession, source: str, min_count: int = 3) -> Data
     return op.word_count(read_text(spark, source), min_count=min_count)
 
 
-def run_word_count(spark: SparkSession, source: str, target: str, files: int | None = 1) -> None:
-    """Write word and count, one per line; one file by default, since the list is short."""
+def run_word_count(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
+    """Write word and count, one per line; into one file only if `files` says so."""
     write_text(frequent_words(spark, source), target, partitions=files)
 
 

@@ -11,6 +11,7 @@ from millrace.sources.readers import (
     read_tables,
     read_text,
     read_xml,
+    split_lines,
 )
 from millrace.sources.scratch import scratch_path
 from millrace.sources.tables import drop_tables, list_tables, reset_schema, stage, write_table

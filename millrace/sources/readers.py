@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.setops import union_all
@@ -22,16 +23,19 @@ def read_csv(
     path: Paths,
     schema: Schema | None = None,
     header: bool | None = None,
+    strip: bool = False,
+    multi_line: bool = False,
     **options: object,
 ) -> DataFrame:
     """CSV files. With a schema there is no header unless said; without one there is.
 
-    Without a schema the types are inferred, which reads the files once more.
+    Without a schema the types are inferred, which reads the files once more. `strip` takes
+    blanks off both ends of the values. `multi_line` reads values with line breaks, at the
+    price that a file is read by one task.
     """
     header = schema is None if header is None else header
-    reader = spark.read.options(
-        header=header, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options
-    )
+    kept = {"escape": '"', "ignoreLeadingWhiteSpace": strip, "ignoreTrailingWhiteSpace": strip}
+    reader = spark.read.options(header=header, multiLine=multi_line, **{**kept, **options})
     if schema is not None:
         return reader.schema(schema).csv(_paths(path))
     return reader.option("inferSchema", True).csv(_paths(path))
@@ -62,6 +66,21 @@ def read_text(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.text(_paths(path))
 
 
+def split_lines(lines: DataFrame, schema: str, sep: str = "\t") -> DataFrame:
+    """The columns of lines that `write_text` wrote, with the types of `schema`."""
+    parts = F.split("value", f"\\Q{sep}\\E", -1)
+    fields = T.StructType.fromDDL(schema)
+
+    def plain(value: Column) -> Column:
+        mark = F.lit("\\x")  # no code: keeps escaped backslashes apart while the rest is turned back
+        text = F.replace(value, F.lit("\\\\"), mark)
+        for code, sign in (("\\s", sep), ("\\n", "\n"), ("\\r", "\r")):
+            text = F.replace(text, F.lit(code), F.lit(sign))
+        return F.when(value != "\\N", F.replace(text, mark, F.lit("\\")))
+
+    return lines.select(*[plain(parts[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
 def read_parquet(spark: SparkSession, path: Paths, **options: object) -> DataFrame:
     """Parquet files, or all of a folder."""
     return spark.read.options(**options).parquet(*_paths(path))

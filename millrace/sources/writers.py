@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
@@ -23,8 +23,13 @@ def partition_count(df: DataFrame) -> int:
 def write_csv(
     df: DataFrame, path: str, header: bool = True, partitions: int | None = None, **options: object
 ) -> None:
+    """CSV that `read_csv` reads back unchanged; values with line breaks need its `multi_line`.
+
+    An empty text and a null are both read as null, unless both sides set `nullValue`.
+    """
+    kept = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     writer = _partitioned(df, partitions).write.mode("overwrite")
-    writer.options(header=header, **options).csv(path)
+    writer.options(header=header, **{**kept, **options}).csv(path)
 
 
 def write_json(df: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -49,11 +54,21 @@ def write_parquet(df: DataFrame, path: str, partitions: int | None = None) -> No
 def write_text(
     df: DataFrame, path: str, sep: str = "\t", partitions: int | None = None
 ) -> None:
-    """One line per row, columns joined by `sep`. One file only for results known to be small."""
-    line = F.concat_ws(sep, *[F.coalesce(col(c).cast("string"), F.lit("")) for c in df.columns])
+    """One line per row, columns joined by `sep`. One file only for results known to be small.
+
+    Inside a value a backslash, the separator and line breaks are written as a backslash and a
+    sign (`\\\\`, `\\s`, `\\n`, `\\r`), and null is `\\N`; `split_lines` turns them back.
+    """
+    line = F.concat_ws(sep, *[_escaped(col(c).cast("string"), sep) for c in df.columns])
     _partitioned(df.select(line.alias("value")), partitions).write.mode("overwrite").text(path)
 
 
+def _escaped(value: Column, sep: str) -> Column:
+    for sign, code in (("\\", "\\\\"), (sep, "\\s"), ("\n", "\\n"), ("\r", "\\r")):
+        value = F.replace(value, F.lit(sign), F.lit(code))
+    return F.coalesce(value, F.lit("\\N"))
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Replace a database table. Connection options are arguments; nothing is stored."""
     writer = df.write.format("jdbc").mode("overwrite")

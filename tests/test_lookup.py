@@ -109,3 +109,55 @@ def test_word_count_keeps_empty_words(spark):
     df = spark.createDataFrame([("a  b ",), ("a b",), ("",)], "value string")
     counts = {r.word: r.n for r in op.word_count(df, min_count=1).collect()}
     assert counts == {"a": 2, "b": 2, "": 3}
+
+
+def test_distinct_counts_compare_values_by_type(spark):
+    df = spark.createDataFrame([(["a, b"], 0.0), (["a", "b"], -0.0), (None, None)], "a array<string>, x double")
+    assert {r.column: r.n_distinct for r in op.distinct_counts(df, ["a", "x"]).collect()} == {"a": 2, "x": 1}
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (inf,), (inf,), (inf,)], "v double")
+    found = {r.prob: r.quantile for r in op.quantiles(df, ["v"], [0.0, 0.5, 1.0]).collect()}
+    assert found == {0.0: 1.0, 0.5: inf, 1.0: inf}
+
+
+def test_dedup_with_maps(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 2}), ("a", 1, {"x": 1}), ("b", 0, None)], "k string, o int, m map<string,int>")
+    assert {r.k: r.m for r in op.dedup_first(df, ["k"], ["o"]).collect()} == {"a": {"x": 1}, "b": None}
+
+
+@pytest.mark.parametrize("max_rows", [10_000, 0])
+def test_outer_join_with_a_shared_name(spark, max_rows):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
+    ref = spark.createDataFrame([("a", 7), ("c", 8)], "k string, id int")
+    out = op.join_reference(df, ref, ("k", "k"), max_rows)
+    assert out.columns == ["id", "k", "k", "id"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(
+        map(str, [(1, "a", "a", 7), (2, None, None, None), (None, None, "c", 8)])
+    )
+
+
+def test_many_groups_of_bands_expand_little(spark):
+    bands = spark.range(2000).selectExpr("id % 500 AS g", "id div 500 * 10.0 AS lo", "id div 500 * 10.0 + 9 AS hi", "id AS rate")
+    df = spark.range(5000).selectExpr(
+        "id", "IF(id % 7 = 0, NULL, id % 600) AS g", "CASE WHEN id % 3 = 0 THEN 5.0 WHEN id % 3 = 1 THEN id % 50 END AS x"
+    )
+    out = op.range_lookup(df, bands, "x", by=["g"])
+    found = {r.id: r.rate for r in out.select("id", "rate").collect()}
+    for i in range(5000):
+        g, x = None if i % 7 == 0 else i % 600, 5.0 if i % 3 == 0 else float(i % 50) if i % 3 == 1 else None
+        n = None if g is None or x is None or g >= 500 or x >= 40 or x % 10 > 9 else int(x // 10) * 500 + g
+        assert found[i] == n
+
+
+def test_codes_of_many_values_with_a_hot_one(spark, monkeypatch):
+    from millrace.operators import derive
+
+    monkeypatch.setattr(derive, "few_groups", lambda df, keys: False)
+    values = ["hot"] * 50 + [f"v{i}" for i in range(100)] + [None] * 30
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = op.label_encode(df, ["v"]).collect()
+    order = sorted(set(values) - {None})
+    assert len(rows) == len(values) and all(r.v_encoded == (None if r.v is None else order.index(r.v)) for r in rows)

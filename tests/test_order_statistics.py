@@ -96,3 +96,15 @@ def test_mode_takes_the_lowest_on_ties(spark):
     rows = [("x", 5), ("x", 3), ("x", 5), ("x", 3), ("y", None), ("y", 2)]
     df = spark.createDataFrame(rows, "g string, v int")
     assert {tuple(r) for r in op.mode_by_group(df, ["g"], "v").collect()} == {("x", 3), ("y", 2)}
+
+
+def test_every_row_of_a_qq_plot(spark):
+    from statistics import NormalDist
+
+    data = [1.0] * 40 + [2.0, 3.5, 3.5, -1.0, 10.0]
+    df = spark.createDataFrame([(v,) for v in data + [None, float("nan")]], "v double")
+    rows = op.qq_rows(df, "v").orderBy("rank").collect()
+    n = len(data)
+    places = [1 - 0.5 ** (1 / n), *[(i - 0.3175) / (n + 0.365) for i in range(2, n)], 0.5 ** (1 / n)]
+    assert [(r["rank"], r.ordered) for r in rows] == list(enumerate(sorted(data), 1))
+    assert [r.theoretical for r in rows] == pytest.approx([NormalDist().inv_cdf(p) for p in places], abs=1e-7)

@@ -29,7 +29,7 @@ def test_outer_join_with_a_small_reference_does_not_shuffle_the_rows(spark, sf_d
     text = physical_plan(op.join_reference(df, ref, ("c_mktsegment", "segment")))
     assert "SortMergeJoin" not in text and "FullOuter" not in text
     big = physical_plan(op.join_reference(df, ref, ("c_mktsegment", "segment"), max_rows=0))
-    assert "FullOuter" in big
+    assert "LeftOuter" in big and "FullOuter" not in big
 
 
 def test_only_small_tables_are_broadcast(spark, sf_dir):
@@ -70,3 +70,14 @@ def test_deduplication_reduces_before_the_shuffle(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")
     text = physical_plan(op.dedup_first(df, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
     assert "Window" not in text and "partial_min" in text
+
+
+def test_stratified_split_does_not_shuffle_the_rows(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 AS label", "repeat('x', 50) AS payload")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = physical_plan(op.stratified_column(df, "label", 0.1, "id", 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2

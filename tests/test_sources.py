@@ -17,7 +17,7 @@ def rows(frame):
 def test_fixed_schema_csv_without_header(spark):
     path = scratch_path(spark, "csv")
     spark.createDataFrame([("39, State-gov, 77516",), ("50, ?, 83311",)], "v string").write.text(path)
-    out = sources.read_csv(spark, path + "/*", "age int, work string, weight float")
+    out = sources.read_csv(spark, path + "/*", "age int, work string, weight float", strip=True)
     assert rows(out) == [(39, "State-gov", 77516.0), (50, "?", 83311.0)]
 
 
@@ -92,3 +92,21 @@ def test_step_must_return_its_outputs(spark, df):
 def test_jdbc_needs_bounds(spark):
     with pytest.raises(ValueError):
         sources.read_jdbc(spark, "jdbc:none:x", "t", partition_column="id")
+
+
+ODD_VALUES = [(1, " a "), (2, 'say "x", y'), (3, "x\ny"), (4, ""), (5, None), (6, "a\tb\\sc\\\\n\r"), (7, "\\N"), (8, "\\x")]
+
+
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark):
+    path = scratch_path(spark, "csv")
+    df = spark.createDataFrame(ODD_VALUES[:5], "k int, v string")
+    sources.write_csv(df, path, nullValue="\\N")
+    back = sources.read_csv(spark, path, "k int, v string", header=True, multi_line=True, nullValue="\\N")
+    assert sorted(map(tuple, back.collect())) == ODD_VALUES[:5]
+
+
+def test_text_keeps_separators_line_breaks_and_nulls(spark):
+    path = scratch_path(spark, "text")
+    sources.write_text(spark.createDataFrame(ODD_VALUES, "k int, v string"), path)
+    back = sources.split_lines(sources.read_text(spark, path), "k int, v string")
+    assert sorted(map(tuple, back.collect())) == ODD_VALUES
