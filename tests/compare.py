@@ -51,7 +51,7 @@ def plan_faults(name: str, df) -> list[str]:
     """What no plan may hold: Python workers, cross joins, nested loops but in band lookups."""
     text = physical_plan(df)
     faults = [w for w in ("EvalPython", "InPandas", "CartesianProduct") if w in text]
-    lookups = ("range_lookup", "impute_", "mean_of_two", "flagged")
+    lookups = ("range_lookup", "impute_bernoulli", "impute_votes", "mean_of_two", "flagged")
     if re.search("BroadcastNestedLoopJoin", text) and not name.startswith(lookups):
         faults.append("BroadcastNestedLoopJoin")
     return faults
