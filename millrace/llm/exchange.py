@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from millrace.llm.storage import written
 from millrace.llm.text import bounded, texts_of
 
-CHUNK_BYTES = 8 << 20
-_BUCKET_BYTES = 24 << 20
+CHUNK_BYTES = 4 << 20
+_BUCKET_BYTES = 12 << 20
 
 REQUEST = "kind int, bucket int, chunk bigint, keys binary, sums binary"
 _ANSWER = "kind int, bucket int, chunk bigint, found binary, counted array<double>"
@@ -101,7 +101,7 @@ def answers(requests: DataFrame, answer: Callable, label: str) -> tuple[DataFram
             start += n
         return pa.Table.from_batches([batch_of(rows, _ANSWER)])
 
-    made = written(requests.groupBy("kind", "bucket").applyInArrow(answered, _ANSWER), label)
+    made = written(requests.groupBy("kind", "bucket").applyInArrow(answered, _ANSWER), label, 1)
     counted = made.where("counted IS NOT NULL").select("kind", F.posexplode("counted").alias("place", "value"))
     totals: dict[int, list[float]] = {}
     for row in counted.groupBy("kind", "place").agg(F.sum("value").alias("value")).orderBy("kind", "place").collect():

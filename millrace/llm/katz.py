@@ -223,12 +223,12 @@ def score_texts(
     chunks = chunked(documents.withColumn("trained", F.coalesce(trains, F.lit(False))), [key, "trained"], text)
     buckets = bucket_count(chunks)
     requests = chunks.select("chunk", "texts", "trained").mapInArrow(_counting(order, buckets), REQUEST)
-    found, counted = answers(written(requests, "questions", 1), _counted, "counts")
+    found, counted = answers(requests, _counted, "counts")
     model, replies = Model(order, counted), [found]
     columns = ("chunk", "texts", "trained", "found")
     for k in range(2, order + 1):
         requests = joined(chunks, replies).select(*columns).mapInArrow(_weighing(model, k, buckets), REQUEST)
-        found, _ = answers(written(requests, "questions", 1), _weighed, "weights")
+        found, _ = answers(requests, _weighed, "weights")
         replies.append(found)
     kind = documents.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"

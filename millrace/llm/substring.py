@@ -133,7 +133,7 @@ def remove_repeats(
     for level, length in enumerate(lengths):
         ask = _asking(lengths[:level], length, level, window, buckets)
         requests = joined(chunks, found).select("chunk", "texts", "found").mapInArrow(ask, REQUEST)
-        reply, counted = answers(written(requests, "questions", 1), _repeated, "repeated")
+        reply, counted = answers(requests, _repeated, "repeated")
         found.append(reply)
         if not counted.get(level, [0.0])[0]:
             break
