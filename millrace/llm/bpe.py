@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from millrace.llm.text import bounded, texts_of
 
 #: Bytes of text in hand at a time, words in one recursive query, words remembered by a task.
-_BATCH_BYTES = 8 << 20
-_QUERY_WORDS = 50_000
-_KNOWN_WORDS = 1_500_000
+_BATCH_BYTES = 4 << 20
+_QUERY_WORDS = 20_000
+_KNOWN_WORDS = 800_000
 _LONG_WORD = 64
-_PART_TOKENS = 1 << 20
+_PART_TOKENS = 1 << 18
 
 _SETUP = """
     CREATE TABLE vocabulary AS SELECT id, hex(bytes) AS digits FROM given;
@@ -97,7 +97,7 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self._ranks = ranks
         self._pattern = regex.compile(pattern)
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         given = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks, pa.binary())})
         self._db.register("given", given)
         self._db.execute(_SETUP)
