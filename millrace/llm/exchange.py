@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +60,16 @@ def asked(kind: int, chunk: int, keys: np.ndarray, sums: list[np.ndarray], bucke
     for b in range(buckets):
         a, z = cuts[b], cuts[b + 1]
         if z > a:
-            yield kind, b, chunk, keys[a:z].tobytes(), b"".join(s[a:z].tobytes() for s in sums)
+            yield kind, b, chunk, keys[a:z].tobytes(), _packed([s[a:z] for s in sums])
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns one after the other, compressed: most counts are small and alike."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+
+
+def _unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -87,7 +97,7 @@ def answers(requests: DataFrame, answer: Callable, label: str) -> tuple[DataFram
         keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
         sizes = np.array([len(k) for k in keys])
         raw = table.column("sums").to_pylist()
-        parts = [np.frombuffer(r, np.float64).reshape(-1, n) for r, n in zip(raw, sizes)]
+        parts = [np.frombuffer(_unpacked(r), np.float64).reshape(-1, n) for r, n in zip(raw, sizes)]
         distinct, at, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         own = np.concatenate(parts, axis=1)
         sums = np.stack([np.bincount(inverse, row, len(distinct)) for row in own])
@@ -96,7 +106,7 @@ def answers(requests: DataFrame, answer: Callable, label: str) -> tuple[DataFram
         columns, counted = answer(kind, inverse, sums, first)
         rows, start = [], 0
         for chunk, n in zip(table.column("chunk").to_pylist(), sizes.tolist()):
-            found = b"".join(np.ascontiguousarray(c[start : start + n]).tobytes() for c in columns)
+            found = _packed([c[start : start + n] for c in columns])
             rows.append((kind, bucket, chunk, found, counted if start == 0 else None))
             start += n
         return pa.Table.from_batches([batch_of(rows, _ANSWER)])
@@ -125,8 +135,9 @@ def received(found: list[dict], kind: int, kinds: list[type]) -> list[np.ndarray
     width = sum(np.dtype(k).itemsize for k in kinds)
     parts: list[list[np.ndarray]] = [[] for _ in kinds]
     for row in sorted((r for r in found if r["kind"] == kind), key=lambda r: r["bucket"]):
-        n, start = len(row["found"]) // width, 0
+        data = _unpacked(row["found"])
+        n, start = len(data) // width, 0
         for part, k in zip(parts, kinds):
-            part.append(np.frombuffer(row["found"], k, n, start))
+            part.append(np.frombuffer(data, k, n, start))
             start += n * np.dtype(k).itemsize
     return [np.concatenate([np.zeros(0, k), *p]) for p, k in zip(parts, kinds)]
