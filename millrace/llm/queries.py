@@ -113,7 +113,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score_texts(table(spark, sf_dir, "documents"), trains=remainder(F.col("doc_id"), 10) != 0)
+    return katz.score_texts(table(spark, sf_dir, "documents"), trains=remainder(F.col("doc_id"), 10) != 0, order=3)
 
 
 @query()

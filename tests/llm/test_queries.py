@@ -9,8 +9,9 @@ import pytest
 import tiktoken
 import xxhash
 from compare import connect, differences
+from pyspark.sql import functions as F
 
-from millrace.llm import ORACLES, QUERIES, bpe
+from millrace.llm import ORACLES, QUERIES, bpe, katz, labelled
 
 # All pairs of windows are counted in DuckDB: on the smallest tables only.
 SMALL = "/root/testdata/sf0.001"
@@ -125,6 +126,16 @@ def test_katz_columns(spark, documents):
         assert r["base_score"] == pytest.approx(base) and r["score"] < 0
 
 
+def test_katz_order_is_three(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    trains = labelled.remainder(F.col("doc_id"), 10) != 0
+    scores = {
+        order: {r["doc_id"]: r["score"] for r in katz.score_texts(docs, trains=trains, order=order).collect()} for order in (2, 3)
+    }
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op10_katz_scores"](spark, SMALL).collect()}
+    assert got == pytest.approx(scores[3]) and got != pytest.approx(scores[2])
+
+
 def test_line_dedup(spark, documents):
     rows = QUERIES["op5_line_dedup"](spark, SMALL).collect()
     assert {r["doc_id"]: r["n_lines"] for r in rows} == {k: t.count("\n") + 1 for k, t in documents.items()}
