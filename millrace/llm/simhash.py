@@ -45,18 +45,21 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(packed.view(">i8")[0])
 
 
-def fingerprints(documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """`key` and the fingerprint (long) of every whole text; null and blank texts have zero."""
-    schema = f"`{key}` {documents.schema[key].dataType.simpleString()}, fingerprint bigint"
+def fingerprints(
+    documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """`key`, `keep` and the fingerprint (long) of every whole text; null and blank texts have zero."""
+    names = [key, *keep]
+    schema = ", ".join(f"`{n}` {documents.schema[n].dataType.simpleString()}" for n in names) + ", fingerprint bigint"
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(shingle_hashes(t, shingle)) for t in texts_of(batch.column(text))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(found, pa.int64())], names=[key, "fingerprint"]
+                [*map(batch.column, names), pa.array(found, pa.int64())], names=[*names, "fingerprint"]
             )
 
-    return documents.select(key, text).mapInArrow(measure, schema)
+    return documents.select(*names, text).mapInArrow(measure, schema)
 
 
 def _masks(radius: int) -> list[int]:
@@ -105,6 +108,29 @@ def ball_links(points: DataFrame, distance: int) -> DataFrame:
     ).distinct()
 
 
+def represented(
+    documents: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    distance: int = 2,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """`key`, `keep`, fingerprint (long) and first, which stands for the group, of every document.
+
+    first is the least (key, fingerprint) of the group. A node is a fingerprint with its smallest
+    key, so rows that share a key but not a text are in the same group only if their texts are.
+    """
+    known = documents.where(F.col(key).isNotNull())
+    marked = written(fingerprints(known, key=key, text=text, shingle=shingle, keep=keep), "fingerprints")
+    node = F.struct(F.min(key).cast("long").alias("key"), F.col("fingerprint")).alias("node")
+    points = written(marked.groupBy("fingerprint").agg(node), "points")
+    reached = components(ball_links(points, distance))
+    named = points.join(reached, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("first"))
+    return marked.join(named, "fingerprint").select(key, *keep, "fingerprint", "first")
+
+
 def near_duplicates(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -114,18 +140,13 @@ def near_duplicates(
     included. Fingerprints at most `distance` bits apart link their documents; component_id is
     the smallest `key` (a whole number) that can be reached over links, the document's own
     included. Null and blank texts have fingerprint zero and link like any other. Rows with a
-    null key are left out. Repeated rows stay and fall into one component; other columns may
-    have any name.
+    null key are left out. Repeated rows stay and fall into one component; rows of one key with
+    other texts are linked by their texts only. Other columns may have any name.
 
     Documents of equal fingerprint are one node, named by their smallest key, so groups of
     copies meet only in aggregates with partial results.
     """
-    marked = written(fingerprints(documents.where(F.col(key).isNotNull()), key=key, text=text, shingle=shingle), "fingerprints")
-    points = written(marked.groupBy("fingerprint").agg(F.min(key).cast("long").alias("node")), "points")
-    reached = components(ball_links(points, distance))
-    named = points.join(reached, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")
-    )
-    return marked.join(named, "fingerprint").select(
-        key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    found = represented(documents, key=key, text=text, shingle=shingle, distance=distance)
+    return found.select(
+        key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("first.key").alias("component_id")
     )
