@@ -23,7 +23,7 @@ SEED_WORDS = 3
 RARE = 1e-8
 #: The rarest seeds of an item are taken in any case, up to this number.
 LEAST_SEEDS = 8
-#: Shorter items are no passages; nothing is matched against them.
+#: Shorter items are no passages: they are found by all of their words, and only as exact copies.
 LEAST_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -37,7 +37,10 @@ def plain_words(text: bytes) -> list[bytes]:
 
 @dataclass
 class Items:
-    """A block of test items: words by number, and seeds by hash with the places they stand at."""
+    """A block of test items: words by number, and seeds by hash with the places they stand at.
+
+    `short` has the items below `LEAST_WORDS`, by their number of words and the hash of all of them.
+    """
 
     keys: list
     words: list[np.ndarray]
@@ -47,6 +50,7 @@ class Items:
     starts: np.ndarray
     owners: np.ndarray
     places: np.ndarray
+    short: dict[int, dict[int, list[int]]]
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """0 for words that no item has."""
@@ -54,28 +58,37 @@ class Items:
 
     def hits(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Item, place in the item and place in the text of every seed in a text."""
-        spots = np.flatnonzero(_all_known(numbers))
+        spots = np.flatnonzero(_all_known(numbers, SEED_WORDS))
         if not len(spots) or not len(self.seeds):
             return
-        found = _grams(self.hashes[numbers], spots)
+        found = _grams(self.hashes[numbers], spots, SEED_WORDS)
         at = np.minimum(np.searchsorted(self.seeds, found), len(self.seeds) - 1)
         for spot, seed in zip(spots[self.seeds[at] == found].tolist(), at[self.seeds[at] == found].tolist()):
             for k in range(self.starts[seed], self.starts[seed + 1]):
                 yield int(self.owners[k]), int(self.places[k]), spot
 
+    def copies(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Short item, first and last place of its first exact copy in a text."""
+        for length, items in self.short.items():
+            spots = np.flatnonzero(_all_known(numbers, length))
+            grams, first = np.unique(_grams(self.hashes[numbers], spots, length), return_index=True)
+            for gram, spot in zip(grams.tolist(), spots[first].tolist()):
+                for item in items.get(gram, ()):
+                    yield item, spot, spot + length
+
 
-def _all_known(numbers: np.ndarray) -> np.ndarray:
+def _all_known(numbers: np.ndarray, length: int) -> np.ndarray:
     known = numbers > 0
-    n = max(len(known) - SEED_WORDS + 1, 0)
+    n = max(len(known) - length + 1, 0)
     both = np.ones(n, bool)
-    for i in range(SEED_WORDS):
+    for i in range(length):
         both &= known[i : i + n]
     return both
 
 
-def _grams(h: np.ndarray, spots: np.ndarray) -> np.ndarray:
+def _grams(h: np.ndarray, spots: np.ndarray, length: int) -> np.ndarray:
     found = h[spots]
-    for i in range(1, SEED_WORDS):
+    for i in range(1, length):
         found = paired(found, h[spots + i])
     return found
 
@@ -91,18 +104,22 @@ def prepare(rows: list[tuple], counts: dict[bytes, int], total: int) -> Items:
     hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64)
     share = np.array([(counts.get(w, 0) + 1) / (total + 1) for w in names])
     entries = []
+    short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
     for item, at in enumerate(words):
         spots = np.arange(max(len(at) - SEED_WORDS + 1, 0))
         if len(at) < LEAST_WORDS:
+            if len(at):
+                short[len(at)][int(_grams(hashes[at], np.zeros(1, np.intp), len(at))[0])].append(item)
             continue
         chance = np.prod([share[at[spots + i]] for i in range(SEED_WORDS)], axis=0)
         rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
         chosen = spots[(chance <= RARE) | (rank < LEAST_SEEDS)]
-        entries += zip(_grams(hashes[at], chosen).tolist(), repeat(item), chosen.tolist())
+        entries += zip(_grams(hashes[at], chosen, SEED_WORDS).tolist(), repeat(item), chosen.tolist())
     entries.sort()
     seeds, starts = np.unique(np.array([e[0] for e in entries], np.uint64), return_index=True)
     owners, places = (np.array([e[i] for e in entries], np.int32) for i in (1, 2))
-    return Items(keys, words, vocabulary, hashes, seeds, np.append(starts, len(entries)), owners, places)
+    exact = {n: dict(items) for n, items in short.items()}
+    return Items(keys, words, vocabulary, hashes, seeds, np.append(starts, len(entries)), owners, places, exact)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -141,6 +158,7 @@ def _passages(items: Items, numbers: np.ndarray) -> Iterator[tuple[int, int, int
     for item, stretches in around.items():
         for start, end in stretches:
             yield item, start, end
+    yield from items.copies(numbers)
 
 
 def contaminated(
@@ -164,8 +182,9 @@ def contaminated(
     the seed itself is found, so that items with many leaked copies keep their seeds.
 
     Returns `key`, `item_key`, score (1 for an exact copy), start and end of the best alignment
-    (places among the document's words so compared), one row for each pair. Null texts are empty; items of fewer
-    than eight words are not matched; rows with a null key are left out, repeated rows count
+    (places among the document's words so compared), one row for each pair. Null texts are empty. Items of fewer
+    than eight words are matched by exact copies only, whatever `threshold` is, and those without
+    a word never; rows with a null key are left out, repeated rows count
     once, and other columns may have any name.
 
     The items go to the tasks in blocks of at most `max_item_bytes`, with one pass over the

@@ -319,3 +319,13 @@ def test_contaminated_documents(spark, max_bytes):
     assert set(got) == set(planted.items())
     assert all(r["score"] == 1 for (k, _), r in got.items() if k % 2 == 0)
     assert contaminated(docs, tests.limit(0)).count() == 0 and contaminated(docs.limit(0), tests).count() == 0
+
+
+def test_short_items_are_found_by_exact_copies(spark):
+    texts = ["x y Is this, it? z is this it", "this is it", "is this", "one two three four five six seven", "one two three four five six", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(1, "Is this it"), (2, "one two three four five six seven"), (3, "z"), (4, "..."), (5, "is this it")]
+    got = contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["score"], r["start"], r["end"]) for r in got) == [
+        (0, 1, 1.0, 2, 5), (0, 3, 1.0, 5, 6), (0, 5, 1.0, 2, 5), (3, 2, 1.0, 0, 7),
+    ]
