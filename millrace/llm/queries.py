@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import boosted_rules, bpe, katz, nbsvm, simhash, substring
+from millrace.llm import boosted_rules, bpe, katz, nbsvm, simhash, substring, token_files
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.fill_in_middle import fill_in_middle, restore
 from millrace.llm.fuzzy_lines import dedup_lines
 from millrace.llm.labelled import remainder
 from millrace.llm.preference import preference_rows
 from millrace.llm.registry import query, table
+from millrace.llm.resample import resample
 from millrace.llm.url_rules import url_verdicts
 
 #: Host, path and verdict of the url rules.
@@ -180,3 +182,54 @@ def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "pair_id", "prompt_turns", "prompt", "chosen", "rejected", written_out("chosen_mask"), written_out("rejected_mask")
     )
+
+
+def _draw_sql(i: int) -> str:
+    return f"('0x' || substr(sha256('7:' || doc_id), {8 * i + 1}, 8))::BIGINT AS h{i + 1}"
+
+
+@query(
+    f"""
+    WITH cut AS (
+      SELECT doc_id, coalesce(text, '') AS words, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+        len(units)::BIGINT AS n, {", ".join(map(_draw_sql, range(4)))}
+      FROM documents),
+    placed AS (
+      SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN words = '' OR contains(words, '<P>') OR contains(words, '<S>') OR contains(words, '<M>') OR h3 % 100 >= 100
+          THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+      FROM cut),
+    parts AS (
+      SELECT *, array_to_string(units[:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+        array_to_string(units[b + 1:], '') AS suffix
+      FROM placed)
+    SELECT doc_id, n, form,
+      CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN words
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+      sha256(words) AS restored_sha256
+    FROM parts
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = fill_in_middle(table(spark, sf_dir, "documents"))
+    return restore(changed).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query()
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        files = token_files.write_token_files(table(spark, sf_dir, "documents"), definition.read(), end=2)
+    read = token_files.read_token_files(files)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
