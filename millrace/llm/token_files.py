@@ -11,12 +11,14 @@ while a reader of one document fetches and decompresses only the frames that hol
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
 import struct
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,36 +45,104 @@ FRAME_IDS = 1 << 16
 PART_BYTES = 64 << 20
 _UNIT_IDS = 4 << 20
 _BATCH_BYTES = 4 << 20
-_KNOWN_PIECES = 400_000
-_LONG_PIECE = 256
+_KNOWN_PIECES = 500_000
+_KNOWN_IDS = 8 << 20
+_SIMPLE = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
+#: Steps before the model that leave lower-cased letters of ASCII as one word.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _LEVEL = 3
 
 
 class Encoder:
     """Ids of texts as bytes, by a tokenizer that drops white space.
 
-    No token crosses a space, so a text is cut at its spaces and known pieces are looked up.
+    No token crosses white space, so texts are cut there and known pieces are looked up. Where
+    normalizer and pre-tokenizer are the ones below, a piece of letters of ASCII and a few marks
+    after it is its lower-cased letters, which go to the model as they are, and the marks. All
+    other new pieces go through the whole tokenizer.
     """
 
     def __init__(self, definition: str, end: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_str(definition)
-        self._end = struct.pack("<I", end)
-        self._known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
-        if len(self._known) > _KNOWN_PIECES:
-            self._known = {}
-        fresh = list(set().union(*cut) - self._known.keys())
-        found = self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        new = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(fresh, found)}
-        self._known.update(new)
-        encoded = [b"".join(map(self._known.__getitem__, pieces)) + self._end for pieces in cut]
-        for p in fresh:
-            if len(p) > _LONG_PIECE:
-                del self._known[p]
-        return encoded
+        self._model = self._tokenizer.model
+        parts = json.loads(definition)
+        added = [t["content"].encode() for t in parts["added_tokens"]]
+        known = parts["normalizer"] == _NORMALIZER and parts["pre_tokenizer"] == _PRE_TOKENIZER
+        self._direct = known and not any(_SIMPLE.fullmatch(t) for t in added)
+        self._end = end
+        self._forget()
+
+    def _forget(self) -> None:
+        """Piece 0 is the end of a document."""
+        self._numbers: dict[bytes | None, int] = defaultdict(count().__next__)
+        self._numbers[None]
+        self._words: dict[bytes, list[int]] = {}
+        self._values = np.array([self._end], "<u4")
+        self._starts = np.zeros(1, np.int64)
+        self._sizes = np.ones(1, np.int64)
+
+    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
+        found = self._tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        return [e.ids for e in found]
+
+    def _learn(self) -> None:
+        fresh = list(islice(self._numbers, len(self._sizes), None))
+        simple = [_SIMPLE.fullmatch(p) if self._direct else None for p in fresh]
+        other = [p for p, m in zip(fresh, simple) if m is None]
+        other += {m[2] for m in simple if m is not None and m[2]}
+        whole, words, tokenize, found = dict(zip(other, self._encoded(other))), self._words, self._model.tokenize, []
+        for piece, m in zip(fresh, simple):
+            if m is None:
+                found.append(whole[piece])
+                continue
+            word = m[1].lower()
+            ids = words.get(word)
+            if ids is None:
+                ids = words[word] = [t.id for t in tokenize(word.decode())]
+            found.append(ids + whole[m[2]] if m[2] else ids)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        values = np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
+        self._starts = np.concatenate([self._starts, len(self._values) + np.cumsum(sizes) - sizes])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._values = np.concatenate([self._values, values])
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if len(self._numbers) > _KNOWN_PIECES or len(self._values) > _KNOWN_IDS:
+            self._forget()
+        cut = [t.split() for t in texts]
+        n = np.fromiter(map(len, cut), np.int64, len(cut)) + 1
+        at = np.zeros(int(n.sum()), np.int64)
+        number = self._numbers.__getitem__
+        place = 0
+        for pieces in cut:  # the end, which is 0, stays behind each text
+            at[place : place + len(pieces)] = np.fromiter(map(number, pieces), np.int64, len(pieces))
+            place += len(pieces) + 1
+        self._learn()
+        sizes = self._sizes[at]
+        ends = np.cumsum(sizes)
+        ids = self._values[np.repeat(self._starts[at] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        stops = ends[np.cumsum(n) - 1].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops)]
 
 
 class FileWriter:
@@ -231,7 +301,7 @@ def write_token_files(
                     writer, encode = FileWriter(out, frame_ids), Encoder(shared.value, end)
                     first = batch.column(0).slice(0, 1)
                 last = batch.column(0).slice(batch.num_rows - 1)
-                writer.add(batch.column(0), encode([t.decode() for t in texts_of(batch.column(1))]))
+                writer.add(batch.column(0), encode(texts_of(batch.column(1))))
         if out is not None:
             n_docs, n_ids = writer.close()
             out.close()
