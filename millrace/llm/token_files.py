@@ -15,6 +15,7 @@ import json
 import os
 import re
 import struct
+from array import array
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -47,7 +48,11 @@ _UNIT_IDS = 4 << 20
 _BATCH_BYTES = 4 << 20
 _KNOWN_PIECES = 500_000
 _KNOWN_IDS = 8 << 20
-_SIMPLE = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
+#: Letters of ASCII and U+00C0 to U+00FF, which have no other form under NFC, then other printed ASCII.
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!-/:-@\[-`{-~]*)")
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+#: How byte-level vocabularies write the bytes that are no printed characters of Latin-1.
+_BYTE_LETTERS = dict(zip((b for b in range(256) if b not in _PRINTED), count(256)))
 #: Steps before the model that leave lower-cased letters of ASCII as one word.
 _NORMALIZER = {
     "type": "Sequence",
@@ -76,9 +81,9 @@ class Encoder:
     """Ids of texts as bytes, by a tokenizer that drops white space.
 
     No token crosses white space, so texts are cut there and known pieces are looked up. Where
-    normalizer and pre-tokenizer are the ones below, a piece of letters of ASCII and a few marks
-    after it is its lower-cased letters, which go to the model as they are, and the marks. All
-    other new pieces go through the whole tokenizer.
+    normalizer and pre-tokenizer are the ones below, a piece of letters up to U+00FF and a few
+    marks after it is one word of lower-cased letters, whose bytes go to the model as they are,
+    and the marks. All other new pieces go through the whole tokenizer.
     """
 
     def __init__(self, definition: str, end: int) -> None:
@@ -96,32 +101,33 @@ class Encoder:
         """Piece 0 is the end of a document."""
         self._numbers: dict[bytes | None, int] = defaultdict(count().__next__)
         self._numbers[None]
-        self._words: dict[bytes, list[int]] = {}
+        self._words: dict[str, bytes] = {}
         self._values = np.array([self._end], "<u4")
         self._starts = np.zeros(1, np.int64)
         self._sizes = np.ones(1, np.int64)
 
-    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [e.ids for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _word(self, letters: bytes) -> bytes:
+        word = letters.decode().lower()
+        ids = self._words.get(word)
+        if ids is None:
+            tokens = self._model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS))
+            ids = self._words[word] = array("I", [t.id for t in tokens]).tobytes()
+        return ids
 
     def _learn(self) -> None:
         fresh = list(islice(self._numbers, len(self._sizes), None))
         simple = [_SIMPLE.fullmatch(p) if self._direct else None for p in fresh]
         other = [p for p, m in zip(fresh, simple) if m is None]
         other += {m[2] for m in simple if m is not None and m[2]}
-        whole, words, tokenize, found = dict(zip(other, self._encoded(other))), self._words, self._model.tokenize, []
-        for piece, m in zip(fresh, simple):
-            if m is None:
-                found.append(whole[piece])
-                continue
-            word = m[1].lower()
-            ids = words.get(word)
-            if ids is None:
-                ids = words[word] = [t.id for t in tokenize(word.decode())]
-            found.append(ids + whole[m[2]] if m[2] else ids)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        values = np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))
+        whole = dict(zip(other, self._encoded(other))) | {b"": b""}
+        word = self._word
+        found = [whole[p] if m is None else word(m[1]) + whole[m[2]] for p, m in zip(fresh, simple)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        values = np.frombuffer(b"".join(found), np.uintc).astype("<u4")
         self._starts = np.concatenate([self._starts, len(self._values) + np.cumsum(sizes) - sizes])
         self._sizes = np.concatenate([self._sizes, sizes])
         self._values = np.concatenate([self._values, values])

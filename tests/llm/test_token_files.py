@@ -34,7 +34,7 @@ def test_pieces_between_spaces_give_the_ids_of_the_whole_text(tokenizer):
     parts = [" ", "  ", "\n", "\t", " ", " ", "\x85", "e", "́", "̣", "é", "Σ", "ΑΣ", "İ", "'s", "'", "don't", "9", "12",
              "#", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "ﬁ", "가", "가", "漢字", "\U0001f600", "\x00", "_", "Ab"]
     texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(3000)] + ["", "x" * 5000 + " y", " ́ a"]
-    texts += [" ".join(rnd.choices(["Word", "word.", "WORD!?", "x,y", "The", "the...", ".", "a;", "end.\vNext", "q\x1fr"], k=9)) for _ in range(300)]
+    texts += [" ".join(rnd.choices(["Word", "word.", "WORD!?", "x,y", "The", "the...", ".", "a;", "end.\vNext", "q\x1fr", "Élan", "ÀÿÞßÖ,", "a×b", "ªµº", "naïve!", "nai\u0308ve", "straße.", "Ārd", "ñ÷", "it'", "it's", "a***", "b<|", "c$%&'()", "d_", "e`~{}"], k=9)) for _ in range(300)]
     raw, want = [t.encode() for t in texts], [ids_of(tokenizer, t) for t in texts]
     encode = Encoder(DEFINITION, 2)
     assert encode._direct and encode(raw[:1000]) + encode(raw[1000:]) == want
