@@ -1,5 +1,6 @@
 """Training, choosing and judging classifiers with Spark ML."""
 
+from millrace.models.certify import hinge_gains, logistic_gradient, versus_majority
 from millrace.models.evaluate import (
     accuracy,
     auc,
@@ -16,6 +17,8 @@ from millrace.models.features import (
     standard_scale,
     typed_stages,
 )
+from millrace.models.fourier import FourierFeatures, FourierModel
+from millrace.models.nodes import predict_by_nodes, reached_leaves, tree_nodes
 from millrace.models.select import (
     decide,
     evaluate_matrix,
