@@ -187,12 +187,16 @@ def row_uniform(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", hash_uniform(F.col("doc_id"), 42).alias("u"))
 
 
+_RADIUS = f"sqrt(-2 * ln(1 - {uniform_sql('event_id', '3:0')}))"
+_ANGLE = f"2 * pi() * {uniform_sql('event_id', '3:0', 14)}"
+
+
 @query(f"""
-SELECT event_id, round(value + 0.1::DOUBLE * sqrt(-2 * ln(1 - {uniform_sql("event_id", "3:0:1")}))
-  * cos(2 * pi() * {uniform_sql("event_id", "3:0:2")}), 9) AS value
+SELECT event_id, round(value + 0.1::DOUBLE * {_RADIUS} * cos({_ANGLE}), 9) AS value,
+  round(user_id + 0.1::DOUBLE * {_RADIUS} * sin({_ANGLE}), 9) AS user_id
 FROM events
 """)
 def perturb_values(spark: SparkSession, sf: str) -> DataFrame:
-    """Normal noise on a column, the same in every run."""
-    df = table(spark, sf, "events").select("event_id", "value")
-    return op.round_columns(op.perturb(df, ["value"], 0.1, "event_id", 3), ["value"], 9)
+    """Normal noise on two columns, the same in every run."""
+    df = table(spark, sf, "events").select("event_id", "value", "user_id")
+    return op.round_columns(op.perturb(df, ["value", "user_id"], 0.1, "event_id", 3), ["value", "user_id"], 9)

@@ -36,9 +36,9 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABELLED = "(SELECT * FROM documents LEFT JOIN labels USING (doc_id))"
 
 
-def uniform_sql(key: str, seed: int | str) -> str:
-    """What `hash_uniform` computes."""
-    digits = f"substr(md5({key}::VARCHAR || ':{seed}'), 1, 13)"
+def uniform_sql(key: str, seed: int | str, start: int = 1) -> str:
+    """What `hash_uniform` computes; `hash_normals` also takes the digits from the 14th on."""
+    digits = f"substr(md5({key}::VARCHAR || ':{seed}'), {start}, 13)"
     return f"(('0x' || {digits})::BIGINT::DOUBLE / 4503599627370496::DOUBLE)"
 
 

@@ -13,7 +13,7 @@ from millrace.functions.columns import (
     present,
     quoted,
 )
-from millrace.functions.hashing import hash_normal, hash_uniform
+from millrace.functions.hashing import hash_normals, hash_uniform
 from millrace.functions.html import (
     explode_range,
     extract_json_block,
@@ -42,7 +42,7 @@ __all__ = [
     "extract_table_rows",
     "extract_tables",
     "field",
-    "hash_normal",
+    "hash_normals",
     "hash_uniform",
     "is_missing",
     "missing_test",

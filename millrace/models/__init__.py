@@ -18,6 +18,7 @@ from millrace.models.features import (
     typed_stages,
 )
 from millrace.models.fourier import FourierFeatures, FourierModel
+from millrace.models.nodes import SCHEMA as NODE_SCHEMA
 from millrace.models.nodes import predict_by_nodes, reached_leaves, tree_nodes
 from millrace.models.select import (
     decide,

@@ -55,25 +55,31 @@ def tree_nodes(model: DecisionTreeClassificationModel | RandomForestClassificati
 def reached_leaves(df: DataFrame, nodes: DataFrame, key: str, features: str = "features") -> DataFrame:
     """Rows (`key`, tree, node, votes): the leaf of every tree that every row of `df` comes to.
 
-    All rows go down one level at a time, by a join with the nodes of that level; rows in a leaf
-    stay where they are. `features` is a vector or an array of doubles. Levels of few nodes are
-    broadcast after a check; larger ones are joined by tree and node, where the rows of a root
-    are spread over all of its children from the second level on.
+    All rows go down one level at a time, by a join with the nodes; rows in a leaf stay there.
+    The roots, one row a tree, are dealt to all rows. `features` is a vector or an array of doubles. Levels of few nodes are
+    broadcast after a check; larger tables are joined by tree and node, from the second level on.
     """
     is_array = df.schema[features].dataType.typeName() == "array"
     x = col(features) if is_array else vector_to_array(col(features))
     small = fits_broadcast(nodes)
     table = nodes.select(*[F.col(c).alias(f"__{c}") for c in nodes.columns])
-    trees, depth = nodes.agg(F.array_sort(F.collect_set("tree")), F.max("depth")).first()
-    tree = F.explode(F.lit(trees).cast("array<int>")).alias("tree")
-    at = df.select(col(key), x.alias("__x"), tree, F.lit(0).alias("node"))
+    depth = nodes.agg(F.max("depth")).first()[0] or 0
+    kinds = {f"__{f.name}": f.dataType for f in nodes.schema}
+    roots = [  # one row a tree
+        F.struct(*[F.lit(v).cast(t).alias(c) for (c, t), v in zip(kinds.items(), root)])
+        for root in nodes.where("node = 0").orderBy("tree").collect()
+    ]
+    if not roots:
+        raise ValueError("no tree among the nodes")
     value = F.col("__x")[F.col("__feature")]
     goes_below = F.when(F.col("__bound").isNotNull(), value <= F.col("__bound")).otherwise(F.array_contains("__categories", value))
-    step = F.when(F.col("__feature").isNull(), F.col("node")).when(goes_below, F.col("__below")).otherwise(F.col("__above"))
-    met = (F.col("tree") == F.col("__tree")) & (F.col("node") == F.col("__node"))
-    for _ in range(depth or 0):
-        at = at.join(broadcast_if(small, table), met).select(col(key), "__x", "tree", step.alias("node"))
-    return at.join(broadcast_if(small, table), met).select(col(key), "tree", "node", F.col("__votes").alias("votes"))
+    step = F.when(F.col("__feature").isNull(), F.col("__node")).when(goes_below, F.col("__below")).otherwise(F.col("__above"))
+    at = df.select(col(key), x.alias("__x"), F.explode(F.array(*roots)).alias("r")).select(col(key), "__x", "r.*")
+    for _ in range(depth):
+        moved = at.select(col(key), "__x", F.col("__tree").alias("tree"), step.alias("node"))
+        met = (F.col("tree") == F.col("__tree")) & (F.col("node") == F.col("__node"))
+        at = moved.join(broadcast_if(small, table), met)
+    return at.select(col(key), F.col("__tree").alias("tree"), F.col("__node").alias("node"), F.col("__votes").alias("votes"))
 
 
 def predict_by_nodes(df: DataFrame, nodes: DataFrame, key: str, features: str = "features") -> DataFrame:

@@ -5,11 +5,12 @@ Scores are tables (model, ..., value), so a choice is a query over them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from statistics import NormalDist
+from statistics import NormalDist, fmean, pstdev
 
 from pyspark.ml import Estimator, Transformer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
@@ -100,38 +101,41 @@ def perturbation_test(
     label: str = "label",
     level: float = 0.95,
     tolerance: float = 0.0,
+    first_round: int = 4,
 ) -> DataFrame:
     """Accuracy of a fitted model under normal noise on its input columns.
 
     One row (trials, mean, std_error, ci_lo, ci_hi). The result is that of the first trial,
     from the second on, at which the confidence interval's half width is within `tolerance`,
-    or else of the last. All trials are scored in one pass, each as a copy of the test rows
-    with its own noise, which depends on the row's key, the seed, the trial and the column.
+    or else of the last. Trials are scored in rounds, each in one pass and as long as all
+    before it together, so that at most twice the trials that count are scored; the length of
+    the rounds does not change the result. Every trial is a copy of the test rows with its own
+    noise, which depends on the row's key, the seed, the trial and the column. Without test
+    rows all numbers are null.
     """
-    copies = test.withColumn("__trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
-    noisy = perturb(copies, cols, std, key, seed, F.col("__trial"))
+    z = NormalDist().inv_cdf(0.5 + level / 2)
     right = (col(label) == F.col("prediction")).cast("double")
-    scores = model.transform(noisy).groupBy("__trial").agg(F.avg(right).alias("score"))
-    so_far = Window.orderBy("__trial").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    half = F.col("std_error") * NormalDist().inv_cdf(0.5 + level / 2)
-    running = (  # one row per trial
-        scores.select(
-            F.col("__trial").alias("trials"),
-            F.avg("score").over(so_far).alias("mean"),
-            (F.stddev_pop("score").over(so_far) / F.sqrt("__trial")).alias("std_error"),
-        )
-        .withColumn("ci_lo", F.col("mean") - half)
-        .withColumn("ci_hi", F.col("mean") + half)
-    )
-    done = (half <= tolerance) & (F.col("trials") > 1)
-    stop = F.coalesce(F.min(F.when(done, F.col("trials"))), F.max("trials"))
-    last = running.agg(
-        stop.alias("trials"),
-        F.map_from_entries(
-            F.collect_list(F.struct("trials", F.struct("mean", "std_error", "ci_lo", "ci_hi")))
-        ).alias("m"),
-    )
-    found = F.element_at("m", F.col("trials"))
-    return last.select(
-        "trials", *[found.getField(n).alias(n) for n in ("mean", "std_error", "ci_lo", "ci_hi")]
-    )
+    scores: list[float] = []
+    result = (None,) * 5
+    with kept(test) as rows:
+        while len(scores) < trials:
+            last = min(trials, max(first_round, 2 * len(scores)))
+            copies = rows.withColumn("__trial", F.explode(F.sequence(F.lit(len(scores) + 1), F.lit(last))))
+            noisy = perturb(copies, cols, std, key, seed, F.col("__trial"))
+            scored = model.transform(noisy).groupBy("__trial").agg(F.avg(right).alias("score"))
+            found = sorted(scored.collect())  # one row a trial
+            if not found:
+                break
+            done = False
+            for _, score in found:
+                scores.append(score)
+                error = pstdev(scores) / math.sqrt(len(scores))
+                mean = fmean(scores)
+                result = (len(scores), mean, error, mean - z * error, mean + z * error)
+                done = len(scores) > 1 and z * error <= tolerance
+                if done:
+                    break
+            if done:
+                break
+    names = "trials int, mean double, std_error double, ci_lo double, ci_hi double"
+    return test.sparkSession.createDataFrame([result], names)

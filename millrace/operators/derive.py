@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import FLOATS, col, field, present, quoted
-from millrace.functions.hashing import hash_normal
+from millrace.functions.hashing import hash_normals
 from millrace.operators.order_statistics import dense_codes, running_total
 from millrace.operators.project import replace_columns
 from millrace.operators.sizes import few_groups
@@ -178,9 +178,8 @@ def perturb(
     """
     cols = list(cols)
     values = F.array(*[present(df, c).cast("double") for c in cols])
-    noisy = df.withColumn(
-        "__noisy", F.transform(values, lambda v, i: v + hash_normal(col(key), *seed, i) * std)
-    )
+    noise = hash_normals(col(key), len(cols), *seed)
+    noisy = df.withColumn("__noisy", F.zip_with(values, noise, lambda v, e: v + e * std))
     return noisy.select(
         *[F.col("__noisy")[cols.index(c)].alias(c) if c in cols else col(c) for c in df.columns]
     )
