@@ -177,3 +177,49 @@ def impute_indexed_category(spark: SparkSession, sf: str) -> DataFrame:
     df = labelled(spark, sf).select("doc_id", F.when(F.col("quality").isNotNull(), F.col("lang")).alias("lang"))
     indexer = ImputedStringIndexer(inputCols=["lang"], outputCols=["lang_index"])
     return indexer.fit(df).transform(df).select("doc_id", "lang_index")
+
+
+def _range_sql(source: str, lo: float, hi: float) -> str:
+    mean = f"(SELECT avg(v) FROM {source} WHERE v BETWEEN {lo} AND {hi})"
+    return f"SELECT event_id, kind, CASE WHEN v BETWEEN {lo} AND {hi} THEN v ELSE {mean} END AS v FROM {source}"
+
+
+def _fence_sql(source: str, factor: float) -> str:
+    q = f"SELECT quantile_cont(v, 0.25) AS a, quantile_cont(v, 0.75) AS b FROM {source}"
+    return f"""SELECT event_id, kind, CASE WHEN v BETWEEN a - {factor} * (b - a) AND b + {factor} * (b - a) THEN v END AS v
+      FROM {source}, ({q})"""
+
+
+@query(f"""
+WITH s0 AS (
+  SELECT event_id, value AS v,
+    CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE (
+      SELECT event_type FROM events WHERE event_type IN ('view', 'click') GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) END AS kind
+  FROM events),
+s1 AS ({_range_sql("s0", 2, 150)}),
+s2 AS ({_fence_sql("s1", 0.75)}),
+s3 AS (SELECT event_id, kind, coalesce(v, (SELECT avg(v) FROM s2)) AS v FROM s2),
+s4 AS (SELECT * FROM s3 WHERE coalesce(
+  abs(v - (SELECT avg(v) FROM s3)) / nullif((SELECT stddev_pop(v) FROM s3), 0) <= 1.5, true)),
+s5 AS ({_range_sql("s4", 1, 50)}),
+s6 AS ({_fence_sql("s5", 0.5)}),
+s7 AS (SELECT event_id, kind, coalesce(v, (SELECT avg(v) FROM s6)) AS v FROM s6)
+SELECT event_id, kind AS event_type,
+  round((v - (SELECT avg(v) FROM s7)) / nullif((SELECT stddev_samp(v) FROM s7), 0), 6) + 0.0 AS value
+FROM s7
+""")
+def stacked_repairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight steps on one column, each with statistics of what the one before left, and one on another."""
+    df = table(spark, sf, "events").select("event_id", "event_type", "value")
+    steps = [
+        op.Fill({"value": op.in_range(2, 150), "event_type": op.valid_code(lambda c: c.isin("view", "click"))}),
+        op.Fence(["value"], 0.75),
+        op.Fill({"value": op.Repair("mean")}),
+        op.DropUnusual(["value"], 1.5),
+        op.Fill({"value": op.in_range(1, 50)}),
+        op.Fence(["value"], 0.5),
+        op.Fill({"value": op.Repair("mean")}),
+        op.Scale(["value"]),
+    ]
+    cleaned = op.chain(df, steps)
+    return cleaned.withColumn("value", F.round("value", 6) + 0.0)

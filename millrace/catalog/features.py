@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import models
 from millrace import operators as op
 from millrace.catalog.registry import query, table, uniform_sql
 from millrace.functions import hash_uniform
@@ -200,3 +201,21 @@ def perturb_values(spark: SparkSession, sf: str) -> DataFrame:
     """Normal noise on two columns, the same in every run."""
     df = table(spark, sf, "events").select("event_id", "value", "user_id")
     return op.round_columns(op.perturb(df, ["value", "user_id"], 0.1, "event_id", 3), ["value", "user_id"], 9)
+
+
+_ORDER = "CASE WHEN l_orderkey % 7 > 0 THEN 'order ' || l_orderkey END"
+
+
+@query(f"""
+WITH keyed AS (SELECT l_orderkey, l_linenumber, l_quantity, {_ORDER} AS k FROM lineitem),
+codes AS (
+  SELECT k, row_number() OVER (ORDER BY count(*) DESC, k) - 1 AS code
+  FROM keyed WHERE l_linenumber <= 5 AND k IS NOT NULL GROUP BY k)
+SELECT l_orderkey, l_linenumber, l_quantity, coalesce(code, 0)::DOUBLE AS code FROM keyed LEFT JOIN codes USING (k)
+""")
+def index_model_many_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """An index model fitted on part of the rows, with missing and unseen labels in the others."""
+    key = F.when(F.col("l_orderkey") % 7 > 0, F.concat(F.lit("order "), "l_orderkey"))
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", key.alias("k"))
+    indexer = models.ImputedStringIndexer(inputCols=["k"], outputCols=["code"])
+    return indexer.fit(df.where("l_linenumber <= 5")).transform(df).drop("k")

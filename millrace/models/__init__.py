@@ -10,6 +10,7 @@ from millrace.models.evaluate import (
     confusion_pivot,
 )
 from millrace.models.features import (
+    CategoryModel,
     ImputedStringIndexer,
     PairwiseProduct,
     SquaredFeatures,

@@ -13,6 +13,8 @@ from millrace.operators.aggregate import (
     value_counts,
     word_count,
 )
+from millrace.operators.chain import DropUnusual, Fence, Fill, Scale, chain, plan_levels
+from millrace.operators.codes import category_codes
 from millrace.operators.derive import (
     label_encode,
     log1p,

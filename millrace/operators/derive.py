@@ -9,17 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import FLOATS, col, field, present, quoted
+from millrace.functions.columns import FLOATS, col, field, present
 from millrace.functions.hashing import hash_normals
-from millrace.operators.order_statistics import dense_codes, running_total
+from millrace.operators.codes import attach_codes, category_codes
 from millrace.operators.project import replace_columns
-from millrace.operators.sizes import few_groups
 from millrace.operators.statistics import stat, with_stats
 
 
-SALTS = 8  # parts of a value's rows in a join with a large code table
-
-
 def log1p(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return replace_columns(df, {c: F.log1p(col(c)) for c in cols})
 
@@ -120,31 +116,9 @@ def minmax_apply(df: DataFrame, params: DataFrame, cols: Sequence[str]) -> DataF
     return scaled.select(*[value(c).alias(c) if c in cols else col(c) for c in df.columns])
 
 
-def _attach(df: DataFrame, codes: DataFrame, name: str, out: str) -> DataFrame:
-    """Left join of a code table (value, code) on its value.
-
-    A large code table is joined by value and salt, so that the rows of a frequent value are
-    spread over several tasks; rows without a value stay out of the join.
-    """
-    side = codes.select(col(name).alias("__value"), F.col("code").alias(out))
-    if few_groups(df, [name]):
-        return df.join(F.broadcast(side), col(name) == F.col("__value"), "left").drop("__value")
-    salted = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = df.filter(col(name).isNotNull()).withColumn(
-        "__row_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    )
-    met = (col(name) == F.col("__value")) & (F.col("__row_salt") == F.col("__salt"))
-    coded = rows.join(salted, met, "left").drop("__value", "__salt", "__row_salt")
-    none = F.lit(None).cast(side.schema[out].dataType).alias(out)
-    return coded.union(df.filter(col(name).isNull()).select("*", none))
-
-
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_encoded") -> DataFrame:
     """Add for each column its value's position among the distinct values, sorted, from 0."""
-    encoded = df
-    for c in cols:
-        encoded = _attach(encoded, dense_codes(df, c), c, c + suffix)
-    return encoded
+    return attach_codes(df, category_codes(df, cols), cols, suffix) if cols else df
 
 
 def string_index(df: DataFrame, cols: Sequence[str], suffix: str = "Index") -> DataFrame:
@@ -152,20 +126,12 @@ def string_index(df: DataFrame, cols: Sequence[str], suffix: str = "Index") -> D
 
     Missing values get the number of distinct values, so that they can be told apart.
     """
-    indexed = df
-    for c in cols:
-        counted = df.filter(col(c).isNotNull()).groupBy(col(c)).agg(F.count("*").alias("__n"))
-        ordered = counted.select(
-            F.struct((-F.col("__n")).alias("rank"), col(c).alias("value")).alias("__order"),
-            F.lit(1).cast("bigint").alias("__one"),
-        )
-        ranked = running_total(ordered, "__order", {"code": "__one"}).select(
-            F.col("__order.value").alias(c), "code"
-        )
-        size = df.select(F.count_distinct(col(c))).scalar()
-        indexed = _attach(indexed, ranked, c, c + suffix)
-        indexed = indexed.withColumn(c + suffix, F.coalesce(F.col(quoted(c + suffix)), size))
-    return indexed
+    if not cols:
+        return df
+    codes = category_codes(df, cols, by_frequency=True)
+    indexed = attach_codes(df, codes, cols, suffix)
+    filled = {c + suffix: F.coalesce(col(c + suffix), F.lit(codes.sizes[i]).cast("bigint")) for i, c in enumerate(cols)}
+    return replace_columns(indexed, filled)
 
 
 def perturb(

@@ -74,6 +74,12 @@ def binary_flag() -> Repair:
     return valid_code(lambda c: c <= 1)
 
 
+def basis_of(df: DataFrame, c: str, rule: Repair) -> Column:
+    """The values that the rule's statistic is taken over."""
+    value = present(df, c)
+    return value if rule.over is None else F.when(rule.over(value), value)
+
+
 def repair(
     df: DataFrame, rules: Mapping[str, Repair], fitted_on: DataFrame | None = None
 ) -> DataFrame:
@@ -85,8 +91,7 @@ def repair(
     source = df if fitted_on is None else fitted_on
 
     def basis(c: str) -> Column:
-        over, value = rules[c].over, present(source, c)
-        return value if over is None else F.when(over(value), value)
+        return basis_of(source, c, rules[c])
 
     means = [c for c in rules if rules[c].statistic == MEAN]
     modes = [c for c in rules if rules[c].statistic == MODE]
@@ -97,21 +102,24 @@ def repair(
         typed = {c: (basis(c), field(df, c).dataType) for c in modes}
         holder = with_stats(holder, mode_stats(source, typed), "__mode")
 
-    def repaired(c: str) -> Column:
-        rule, value = rules[c], present(df, c)
-        if rule.statistic:
-            fill = stat(c, f"__{rule.statistic}")
-        else:
-            constant = rule.fill if isinstance(rule.fill, Column) else F.lit(rule.fill)
-            fill = constant.cast(field(df, c).dataType)
-        if rule.wrong is None:
-            return F.coalesce(value, fill) if rule.missing else value
-        wrong = F.coalesce(rule.wrong(value), F.lit(False))
-        if rule.missing:
-            wrong = wrong | value.isNull()
-        return F.when(wrong, fill).otherwise(value)
-
-    return holder.select(*[repaired(c).alias(c) if c in rules else col(c) for c in df.columns])
+    def fill(c: str) -> Column | None:
+        return stat(c, f"__{rules[c].statistic}") if rules[c].statistic else None
+
+    return holder.select(*[repaired(df, c, rules[c], fill(c)).alias(c) if c in rules else col(c) for c in df.columns])
+
+
+def repaired(df: DataFrame, c: str, rule: Repair, statistic: Column | None) -> Column:
+    """A column after its rule, whose statistic is given if it has one."""
+    value, fill = present(df, c), statistic
+    if fill is None:
+        constant = rule.fill if isinstance(rule.fill, Column) else F.lit(rule.fill)
+        fill = constant.cast(field(df, c).dataType)
+    if rule.wrong is None:
+        return F.coalesce(value, fill) if rule.missing else value
+    wrong = F.coalesce(rule.wrong(value), F.lit(False))
+    if rule.missing:
+        wrong = wrong | value.isNull()
+    return F.when(wrong, fill).otherwise(value)
 
 
 def missing_profile(df: DataFrame, total: str = "n_rows") -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from compare import physical_plan
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -134,3 +135,38 @@ def test_nodes_of_categories_and_without_broadcast(spark, monkeypatch):
     assert {r.id: r.prediction for r in models.predict_by_nodes(scored, table, "id").collect()} == wanted
     monkeypatch.setattr(module, "fits_broadcast", lambda *_: False)
     assert {r.id: r.prediction for r in models.predict_by_nodes(scored, table, "id").collect()} == wanted
+
+
+def test_index_model_is_a_table_of_codes(spark, sf_dir):
+    """More labels than may be broadcast, unseen and missing ones, and one that most rows hold."""
+    train = spark.range(40_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('label ', id) END AS many",
+        "concat('k', id % 3) AS few",
+    )
+    estimator = models.ImputedStringIndexer(inputCols=["many", "few"], outputCols=["m", "f"])
+    model = estimator.fit(train)
+    assert model.getOrDefault("sizes")[0] > 20_000 and model.getOrDefault("sizes")[1] == 3
+    new = spark.createDataFrame([("hot", "k1"), (None, "k0"), ("never seen", None), ("label 10", "k2"), ("label 1000", "zz")], "many string, few string")
+    rows = {tuple(r[:2]): tuple(r[2:]) for r in model.transform(new).collect()}
+    assert rows["hot", "k1"] == (0.0, 1.0) and rows[None, "k0"] == (0.0, 0.0) and rows["never seen", None] == (0.0, 0.0)
+    assert rows["label 1000", "zz"] == (3.0, 0.0) and rows["label 10", "k2"] == (1.0, 2.0)
+    path = scratch_path(spark, "codes")
+    model.save(path)
+    again = models.CategoryModel.load(path).transform(new)
+    assert again.exceptAll(model.transform(new)).count() == 0
+    none = estimator.fit(train.limit(0)).transform(new)
+    assert {(r.m, r.f) for r in none.collect()} == {(0.0, 0.0)}
+
+
+def test_codes_scan_the_source_once_for_all_columns(spark, sf_dir, monkeypatch):
+    from millrace.operators import codes as module
+
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount")
+    seen = []
+    stored = module._stored
+    monkeypatch.setattr(module, "_stored", lambda d, label: (seen.append(physical_plan(d).count("lineitem.parquet")), stored(d, label))[1])
+    encoded = op.label_encode(df, df.columns)
+    assert seen == [1, 0]
+    assert physical_plan(encoded).count("Scan parquet") == 1 + 5
+    row = encoded.where("l_linenumber = 1").first()
+    assert row["l_linenumber_encoded"] == 0

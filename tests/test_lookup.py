@@ -153,9 +153,9 @@ def test_many_groups_of_bands_expand_little(spark):
 
 
 def test_codes_of_many_values_with_a_hot_one(spark, monkeypatch):
-    from millrace.operators import derive
+    from millrace.operators import codes
 
-    monkeypatch.setattr(derive, "few_groups", lambda df, keys: False)
+    monkeypatch.setattr(codes, "MAX_BYTES", 0)
     values = ["hot"] * 50 + [f"v{i}" for i in range(100)] + [None] * 30
     df = spark.createDataFrame([(v,) for v in values], "v string")
     rows = op.label_encode(df, ["v"]).collect()
