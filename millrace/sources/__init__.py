@@ -14,7 +14,7 @@ from millrace.sources.readers import (
     split_lines,
 )
 from millrace.sources.scratch import scratch_path
-from millrace.sources.tables import drop_tables, list_tables, reset_schema, stage, write_table
+from millrace.sources.tables import drop_tables, list_tables, recover_table, reset_schema, stage, write_table
 from millrace.sources.writers import (
     partition_count,
     write_csv,
