@@ -14,7 +14,7 @@ from functools import reduce
 from itertools import accumulate
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,9 +70,14 @@ def category_codes(df: DataFrame, cols: Sequence[str], by_frequency: bool = Fals
     found = {r["entry"]: r for r in counted.groupBy("entry").agg(F.count("*").alias("rows"), F.sum(text).alias("bytes")).collect()}
     sizes = {i: found[i]["rows"] if i in found else 0 for i in range(len(cols))}
     lengths = {i: found[i]["bytes"] if i in found else 0 for i in range(len(cols))}
-    before = [0, *accumulate(sizes[i] for i in range(len(cols)))]
     rank = [(-F.col("n")).alias("rank")] if by_frequency else []
-    ordered = counted.select("*", F.struct("entry", *rank, *slot.values()).alias("order"), F.lit(1).cast("bigint").alias("one"))
+    order = F.struct("entry", *rank, *slot.values())
+    if max(sizes.values(), default=0) <= MAX_ROWS:  # a column's few values may be ranked by one task
+        place = F.row_number().over(Window.partitionBy("entry").orderBy(order)) - 1
+        ranked = counted.select("entry", *slot.values(), "n", place.cast("bigint").alias("code"))
+        return Codes(ranked, own, sizes, lengths)
+    before = [0, *accumulate(sizes[i] for i in range(len(cols)))]
+    ordered = counted.select("*", order.alias("order"), F.lit(1).cast("bigint").alias("one"))
     ranked = running_total(ordered, "order", {"place": "one"})
     first = F.lit(before).cast("array<bigint>")[F.col("entry")]
     table = ranked.select("entry", *slot.values(), "n", (F.col("place") - first).alias("code"))

@@ -166,7 +166,9 @@ def test_codes_scan_the_source_once_for_all_columns(spark, sf_dir, monkeypatch):
     stored = module._stored
     monkeypatch.setattr(module, "_stored", lambda d, label: (seen.append(physical_plan(d).count("lineitem.parquet")), stored(d, label))[1])
     encoded = op.label_encode(df, df.columns)
-    assert seen == [1, 0]
+    assert seen == [1]
     assert physical_plan(encoded).count("Scan parquet") == 1 + 5
+    monkeypatch.setattr(module, "MAX_ROWS", 5)
+    assert op.label_encode(df, df.columns).exceptAll(encoded).count() == 0 and seen == [1, 1, 0]
     row = encoded.where("l_linenumber = 1").first()
     assert row["l_linenumber_encoded"] == 0
