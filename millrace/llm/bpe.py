@@ -27,8 +27,10 @@ _SETUP = """
     CREATE TABLE merges AS
       WITH cuts AS (
         SELECT id, bytes, unnest(generate_series(1, octet_length(bytes) - 1)) AS k FROM given)
-      SELECT (a.id::BIGINT << 20) | b.id AS pair, c.id AS rank
-      FROM cuts c JOIN given a ON a.bytes = c.bytes[:c.k] JOIN given b ON b.bytes = c.bytes[c.k + 1:];
+      SELECT (a.id::BIGINT << 20) | b.id AS pair, c.id::BIGINT AS rank, twice.id IS NULL OR twice.id > c.id AS calm,
+        2 + max(octet_length(c.bytes)) OVER (ORDER BY c.id) AS reach
+      FROM cuts c JOIN given a ON a.bytes = c.bytes[:c.k] JOIN given b ON b.bytes = c.bytes[c.k + 1:]
+      LEFT JOIN given twice ON twice.bytes = unhex(repeat(hex(c.bytes), 2));
 """
 
 #: Every step puts the tokens of the open words in rows by position, looks up adjacent pairs, and
@@ -55,7 +57,51 @@ _ENCODE = """
 #: Short words keep all of their states until the query ends, which is faster. Of long ones only
 #: the last state is kept, so that a word of any length takes the room of its tokens.
 _SHORT = _ENCODE.format(key="", union="UNION ALL")
-_LONG = _ENCODE.format(key="USING KEY (word)", union="UNION")
+
+#: Long words contract many pairs a step. A pair is smooth if contracting it makes no pair of lower
+#: rank with the tokens beside it, nor of two of the new tokens. Until the turn of a pair p comes,
+#: only pairs of p's rank at most are contracted. So if no other within `reach` places, two more
+#: than the bytes of the longest token up to that rank, has a lower rank, and all of equal rank
+#: there are smooth, a merge elsewhere could touch p's surroundings only through a token that reaches that far, and p,
+#: if smooth, may be contracted now. Of a run of pairs of equal rank, each overlapping the next,
+#: these are the first, third, fifth and so on, if this holds around the run's first too. The pair
+#: whose turn it is goes in any case.
+_LONG = """
+    WITH RECURSIVE step(word, ids, live) USING KEY (word) AS (
+      SELECT word, ids, true FROM words
+      UNION
+      (WITH tokens AS (
+         SELECT word, unnest(generate_series(1, len(ids))) AS spot, unnest(ids)::BIGINT AS id FROM step WHERE live),
+       sides AS (
+         SELECT word, spot, id, lag(id) OVER w AS before, lead(id) OVER w AS next, lead(id, 2) OVER w AS after
+         FROM tokens WINDOW w AS (PARTITION BY word ORDER BY spot)),
+       ranked AS (
+         SELECT s.word, s.spot, s.id, m.rank, coalesce(m.reach, 0) AS reach,
+           m.rank * 2 + (m.calm AND coalesce(l.rank > m.rank, true) AND coalesce(r.rank > m.rank, true))::BIGINT AS score
+         FROM sides s LEFT JOIN merges m ON m.pair = (s.id << 20) | s.next
+         LEFT JOIN merges l ON l.pair = (s.before << 20) | m.rank
+         LEFT JOIN merges r ON r.pair = (m.rank << 20) | s.after),
+       around AS (
+         SELECT word, spot, id, rank,
+           (rank << 32) | spot = min((rank << 32) | spot) OVER (PARTITION BY word) AS due,
+           score % 2 = 1 AND score = min(score) OVER (w ROWS BETWEEN reach PRECEDING AND reach FOLLOWING) AS least,
+           lag(score) OVER w IS DISTINCT FROM score AS opens
+         FROM ranked WINDOW w AS (PARTITION BY word ORDER BY spot)),
+       runs AS (
+         SELECT word, spot, id, rank, due, least,
+           max(CASE WHEN opens THEN spot * 2 + coalesce(least, false)::BIGINT END) OVER (
+             PARTITION BY word ORDER BY spot ROWS UNBOUNDED PRECEDING) AS run
+         FROM around),
+       chosen AS (
+         SELECT word, spot, id, rank,
+           coalesce(due OR (least AND run % 2 = 1 AND (spot - run // 2) % 2 = 0), false) AS joined FROM runs),
+       cut AS (
+         SELECT word, spot, CASE WHEN joined THEN rank ELSE id END AS id, joined,
+           coalesce(lag(joined) OVER (PARTITION BY word ORDER BY spot), false) AS gone
+         FROM chosen)
+       SELECT word, list(id::INTEGER ORDER BY spot) FILTER (NOT gone), bool_or(joined) FROM cut GROUP BY word))
+    SELECT word, ids FROM step WHERE NOT live ORDER BY word
+"""
 
 #: One thread adds the rows up in the order of the subquery.
 _DECODE = """
