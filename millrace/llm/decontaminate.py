@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.storage import measured
-from millrace.llm.text import paired, texts_of
+from millrace.llm.text import bounded, paired, texts_of
 
 #: Bytes of test items that one pass over the documents takes along to every task.
 MAX_ITEM_BYTES = 8 << 20
-SEED_WORDS = 3
-#: A seed is rare if independent words would form it at fewer than this share of all places.
+_BATCH_BYTES = 4 << 20
+#: A seed is three words of an item, side by side or with any one word before the last, so that
+#: copies in which every third word is another still hold seeds.
+SHAPES = ((0, 1, 2), (0, 1, 3))
+#: A seed is rare if independent words would form it at fewer than this share of all places, or
+#: fewer than once in all documents.
 RARE = 1e-8
 #: The rarest seeds of an item are taken in any case, up to this number.
 LEAST_SEEDS = 8
@@ -58,38 +62,42 @@ class Items:
 
     def hits(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Item, place in the item and place in the text of every seed in a text."""
-        spots = np.flatnonzero(_all_known(numbers, SEED_WORDS))
-        if not len(spots) or not len(self.seeds):
+        if not len(self.seeds):
             return
-        found = _grams(self.hashes[numbers], spots, SEED_WORDS)
-        at = np.minimum(np.searchsorted(self.seeds, found), len(self.seeds) - 1)
-        for spot, seed in zip(spots[self.seeds[at] == found].tolist(), at[self.seeds[at] == found].tolist()):
-            for k in range(self.starts[seed], self.starts[seed + 1]):
-                yield int(self.owners[k]), int(self.places[k]), spot
+        hashes = self.hashes[numbers]
+        for shape in SHAPES:
+            spots = np.flatnonzero(_all_known(numbers, shape))
+            found = _grams(hashes, spots, shape)
+            at = np.minimum(np.searchsorted(self.seeds, found), len(self.seeds) - 1)
+            same = self.seeds[at] == found
+            for spot, seed in zip(spots[same].tolist(), at[same].tolist()):
+                for k in range(self.starts[seed], self.starts[seed + 1]):
+                    yield int(self.owners[k]), int(self.places[k]), spot
 
     def copies(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Short item, first and last place of its first exact copy in a text."""
         for length, items in self.short.items():
-            spots = np.flatnonzero(_all_known(numbers, length))
-            grams, first = np.unique(_grams(self.hashes[numbers], spots, length), return_index=True)
+            spots = np.flatnonzero(_all_known(numbers, range(length)))
+            grams, first = np.unique(_grams(self.hashes[numbers], spots, range(length)), return_index=True)
             for gram, spot in zip(grams.tolist(), spots[first].tolist()):
                 for item in items.get(gram, ()):
                     yield item, spot, spot + length
 
 
-def _all_known(numbers: np.ndarray, length: int) -> np.ndarray:
+def _all_known(numbers: np.ndarray, shape: Sequence[int]) -> np.ndarray:
     known = numbers > 0
-    n = max(len(known) - length + 1, 0)
+    n = max(len(known) - shape[-1], 0)
     both = np.ones(n, bool)
-    for i in range(length):
+    for i in shape:
         both &= known[i : i + n]
     return both
 
 
-def _grams(h: np.ndarray, spots: np.ndarray, length: int) -> np.ndarray:
+def _grams(h: np.ndarray, spots: np.ndarray, shape: Sequence[int]) -> np.ndarray:
+    """Hashes of the words at `shape` after each spot; other shapes of the same words have others."""
     found = h[spots]
-    for i in range(1, length):
-        found = paired(found, h[spots + i])
+    for before, i in zip(shape, shape[1:]):
+        found = paired(found + np.uint64(i - before - 1), h[spots + i])
     return found
 
 
@@ -106,15 +114,16 @@ def prepare(rows: list[tuple], counts: dict[bytes, int], total: int) -> Items:
     entries = []
     short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
     for item, at in enumerate(words):
-        spots = np.arange(max(len(at) - SEED_WORDS + 1, 0))
         if len(at) < LEAST_WORDS:
             if len(at):
-                short[len(at)][int(_grams(hashes[at], np.zeros(1, np.intp), len(at))[0])].append(item)
+                short[len(at)][int(_grams(hashes[at], np.zeros(1, np.intp), range(len(at)))[0])].append(item)
             continue
-        chance = np.prod([share[at[spots + i]] for i in range(SEED_WORDS)], axis=0)
-        rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
-        chosen = spots[(chance <= RARE) | (rank < LEAST_SEEDS)]
-        entries += zip(_grams(hashes[at], chosen, SEED_WORDS).tolist(), repeat(item), chosen.tolist())
+        for shape in SHAPES:
+            spots = np.arange(len(at) - shape[-1])
+            chance = np.prod([share[at[spots + i]] for i in shape], axis=0)
+            rank = np.argsort(np.argsort(chance, kind="stable"), kind="stable")
+            chosen = spots[(chance <= max(RARE, 1 / (total + 1))) | (rank < LEAST_SEEDS)]
+            entries += zip(_grams(hashes[at], chosen, shape).tolist(), repeat(item), chosen.tolist())
     entries.sort()
     seeds, starts = np.unique(np.array([e[0] for e in entries], np.uint64), return_index=True)
     owners, places = (np.array([e[i] for e in entries], np.int32) for i in (1, 2))
@@ -145,18 +154,19 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 def _passages(items: Items, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Item, first and last place of the stretches around seeds in which a copy would lie."""
-    around = defaultdict(list)
+    around = defaultdict(set)
     for item, place, spot in items.hits(numbers):
-        slack = len(items.words[item]) // 2 + SEED_WORDS
+        slack = len(items.words[item]) // 2 + SHAPES[0][-1] + 1
         start = max(spot - place - slack, 0)
-        end = min(spot - place + len(items.words[item]) + slack, len(numbers))
-        last = around[item]
-        if last and start <= last[-1][1]:
-            last[-1][1] = max(last[-1][1], end)
-        else:
-            last.append([start, end])
+        around[item].add((start, min(spot - place + len(items.words[item]) + slack, len(numbers))))
     for item, stretches in around.items():
-        for start, end in stretches:
+        joined: list[list[int]] = []
+        for start, end in sorted(stretches):
+            if joined and start <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], end)
+            else:
+                joined.append([start, end])
+        for start, end in joined:
             yield item, start, end
     yield from items.copies(numbers)
 
@@ -175,7 +185,7 @@ def contaminated(
     """Pairs of a document and a test item of which the document holds a copy.
 
     Words are compared lower-cased and without punctuation. Every seed, three words of an item
-    that are rare together, joins the documents' passages that hold it; a passage is aligned
+    that are rare together, side by side or with a gap, joins the documents' passages that hold it; a passage is aligned
     with the item (+2 for equal words, -1 for different ones and for gaps), and the pair is kept
     if the best local alignment reaches `threshold` of the score of an exact copy. Whether a
     seed is rare depends on the counts of its single words in all documents, not on how often
@@ -206,7 +216,7 @@ def contaminated(
             _searching(spark.sparkContext.broadcast(vars(ready))),
             f"key {key_kind}, number int, item array<int>, start bigint, passage array<int>",
         )
-        scores = passages.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
+        scores = passages.repartition(F.xxhash64("key", "number", "start")).mapInArrow(
             _aligning(threshold), f"key {key_kind}, number int, score double, start bigint, `end` bigint"
         )
         names = spark.createDataFrame(list(enumerate(ready.keys)), f"number int, item {item_kind}")
@@ -229,7 +239,7 @@ def _counts(documents: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w: i for i, w in enumerate(shared.value, 1)}
         sums, total = np.zeros(len(number) + 1, np.int64), 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in bounded(whole, "text", _BATCH_BYTES)):
             for t in texts_of(batch.column("text")):
                 words = plain_words(t)
                 sums += np.bincount(
@@ -248,7 +258,7 @@ def _counts(documents: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 def _searching(shared):
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(**shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in bounded(whole, "text", _BATCH_BYTES)):
             rows = []
             for i, t in enumerate(texts_of(batch.column("text"))):
                 numbers = items.numbers(plain_words(t))

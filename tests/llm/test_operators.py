@@ -227,6 +227,39 @@ def test_tokenizer_on_odd_texts(ranks):
     assert tokenizer.encode([]) == [] and tokenizer.decode([]) == []
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "etaoin", "ab", "a", "éü漢字", "=-"])
+def test_long_words(ranks, letters):
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choices(letters, k=n)) for n in [65, 66, 300, 1000, 4000, *rnd.choices(range(65, 400), k=30)]]
+    tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
+    assert [x.tolist() for x in tokenizer.encode(texts)] == [whole.encode_ordinary(t) for t in texts]
+
+
+def contracted(word, ranks):
+    """One leftmost pair of least rank at a time."""
+    parts = [word[i : i + 1] for i in range(len(word))]
+    while True:
+        pairs = [(ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+        rank, i = min(pairs, default=(len(ranks), 0))
+        if rank == len(ranks):
+            return [ranks[p] for p in parts]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_words_by_ranks_in_any_order(seed):
+    rnd = random.Random(seed)
+    tokens = {"".join(rnd.choices("abc", k=rnd.choice([2, 2, 3, 3, 4, 5, 8]))).encode() for _ in range(40)}
+    order = sorted(tokens)
+    rnd.shuffle(order)
+    ranks = {t: i for i, t in enumerate([*(bytes([b]) for b in range(256)), *order])}
+    tokenizer = bpe.Tokenizer(ranks, r"\w+")
+    for _ in range(8):
+        texts = ["".join(rnd.choices("abcd", (9, 9, 9, 1), k=rnd.randint(65, 200))) for _ in range(10)]
+        assert [x.tolist() for x in tokenizer.encode(texts)] == [contracted(t.encode(), ranks) for t in texts]
+
+
 def test_encode_and_decode_keep_other_columns(spark, odd, ranks):
     encoded = bpe.encode(odd, ranks, public_tokenizers.PATTERN)
     rows = bpe.decode(encoded, ranks).collect()
@@ -321,6 +354,45 @@ def test_contaminated_documents(spark, max_bytes):
     assert contaminated(docs, tests.limit(0)).count() == 0 and contaminated(docs.limit(0), tests).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 400])
+def test_edited_copies_against_alignment_over_whole_texts(spark, size):
+    rnd = random.Random(size)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 7))) for _ in range(2000)]
+    items = [rnd.choices(words, k=60) for _ in range(8)]
+
+    def edited(kind, item):
+        if kind == "third":
+            return [rnd.choice(words) if i % 3 == 2 else w for i, w in enumerate(item)]
+        if kind == "head":
+            return item[:40]
+        if kind == "late":  # and the opening again further on
+            return [rnd.choice(words) if i < 39 and i % 3 == 2 else w for i, w in enumerate(item)] + item[:3]
+        return [rnd.choice(words) if rnd.random() < 0.25 else w for w in item]
+
+    texts = []
+    for i in range(40):
+        item = items[rnd.randrange(8)]
+        copy = edited(("third", "head", "late", "any")[i % 4], item)
+        texts.append(" ".join(rnd.choices(words, k=rnd.randint(0, 100)) + copy + rnd.choices(words, k=rnd.randint(0, 100))))
+    texts += [" ".join(rnd.choices(words, k=150)) for _ in range(size - 1)]
+    number = {w: i for i, w in enumerate(words, 1)}
+    coded = [np.array([number[w] for w in t.split()]) for t in texts]
+    expected = {}
+    for k, item in enumerate(items):
+        for i, text in enumerate(coded):
+            score = align(np.array([number[w] for w in item]), text)[0] / 120
+            if score >= 0.5:
+                expected[i, k] = score
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    parts = [docs] if size > 1 else [docs.where(F.col("doc_id") == i) for i in range(0, 12)]
+    got = {(r["doc_id"], r["item_id"]): r["score"] for part in parts for r in contaminated(part, tests).collect()}
+    if size == 1:  # corpora of a single document
+        expected = {(i, k): s for (i, k), s in expected.items() if i < 12}
+    assert set(got) <= set(expected) and len(got) >= 0.95 * len(expected)
+    assert sum(abs(got[p] - expected[p]) < 1e-9 for p in got) >= 0.95 * len(got)
+
+
 def test_short_items_are_found_by_exact_copies(spark):
     texts = ["x y Is this, it? z is this it", "this is it", "is this", "one two three four five six seven", "one two three four five six", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
