@@ -16,6 +16,7 @@ from millrace.operators.profile import (
     SCORE_TAIL,
     normal_grid,
 )
+from millrace.sources.scratch import written
 
 _NUMERIC = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -33,6 +34,15 @@ def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return op.round_columns(df, ["mean", "std", "q1", "median", "q3"], 4)
 
 
+@query(" UNION ALL ".join(_described(c) for c in _NUMERIC))
+def describe_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same numbers from kept summaries of the parts by return flag, added up."""
+    df = table(spark, sf, "lineitem")
+    parts = written(op.summarise(df, _NUMERIC, ["l_returnflag"]), "summary")
+    whole = written(op.merge(parts), "summary")
+    return op.round_columns(op.describe(df, _NUMERIC, summary=whole), ["mean", "std", "q1", "median", "q3"], 4)
+
+
 @query("""
 SELECT l_returnflag, 0.1::DOUBLE AS prob, round(quantile_cont(l_extendedprice, 0.1), 6) AS quantile
 FROM lineitem GROUP BY 1

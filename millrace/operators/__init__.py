@@ -99,5 +99,6 @@ from millrace.operators.sampling import (
     stratified_split,
 )
 from millrace.operators.setops import dedup_first, distinct_values, union_all
+from millrace.operators.summary import exact_quantiles, merge, sketched_quantiles, summarise
 
 __all__ = [name for name in dir() if not name.startswith("_")]

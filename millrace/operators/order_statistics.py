@@ -31,7 +31,7 @@ def _name(name: str) -> str:
     return quoted(name).replace("{", "{{").replace("}", "}}")
 
 
-def _search(bounds: str, value: str, bits: int) -> str:
+def search_items(bounds: str, value: str, bits: int) -> str:
     """Select items that count, as `bucket`, the elements of sorted `bounds` below `value`.
 
     A branch-free binary search over at most 2**bits - 1 bounds: every item reads the item
@@ -105,7 +105,7 @@ def quantile_table(
     ), counted AS ({counted}
     ), searched AS (
       SELECT {hint("sketch")} {listed("counted.")} v, w, bounds,
-           {_search("bounds", "v", len(cuts).bit_length())}
+           {search_items("bounds", "v", len(cuts).bit_length())}
       FROM counted JOIN {sketch} AS sketch ON {meet}
     ), placed AS (
       SELECT {g} v, w, bucket,
@@ -218,7 +218,7 @@ def bucketed(df: DataFrame, value: str, ends: DataFrame, end: str, out: str) ->
 
     The bounds are those with the smallest hashes, so buckets hold equally many of the `ends`.
     """
-    items = _search("bounds", "v", BUCKET_BITS).replace(" AS bucket", f" AS {quoted(out)}")
+    items = search_items("bounds", "v", BUCKET_BITS).replace(" AS bucket", f" AS {quoted(out)}")
     kept = ", ".join(_name(c) for c in df.columns)
     statement = f"""
     SELECT {kept}, {quoted(out)} FROM (
@@ -264,7 +264,7 @@ def running_total(distinct: DataFrame, order: str, sums: Mapping[str, str]) -> D
             SELECT {o} AS o FROM {{df}} ORDER BY xxhash64({o}), {o}
             LIMIT {(1 << BUCKET_BITS) - 1})
           ) AS bounds,
-          {_search("bounds", o, BUCKET_BITS)}
+          {search_items("bounds", o, BUCKET_BITS)}
         FROM {{df}})
     ), offsets AS (
       SELECT bucket, {outer} FROM (SELECT bucket, {total} FROM placed GROUP BY bucket)

@@ -13,6 +13,8 @@ from millrace.functions.columns import NUMERICS, col, columns_of, present, quote
 from millrace.operators.order_statistics import SALTS, quantiles, running_total, unpivot_doubles
 from millrace.operators.sizes import few_groups
 from millrace.operators.statistics import stat, with_stats
+from millrace.operators.summary import exact_quantiles, sketched_quantiles, summarise
+from millrace.sources.scratch import written
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -38,23 +40,30 @@ def _quartiles(
     )
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Rows (column, count, mean, std, min, q1, median, q3, max); sample deviation."""
+def describe(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    exact: bool = True,
+    summary: DataFrame | None = None,
+) -> DataFrame:
+    """Rows (column, count, mean, std, min, q1, median, q3, max); sample deviation.
+
+    Two scans: one for the summary, one for the exact quartiles. A kept `summary` of all rows
+    (`summarise`, `merge`) saves the first; with `exact=False` its sketches save the second.
+    """
     cols = list(cols) if cols is not None else columns_of(df, NUMERICS)
-    functions = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                *[f(present(df, c).cast("double")).alias(n) for n, f in functions.items()],
-            ).alias(f"s{i}")
-            for i, c in enumerate(cols)
-        ]
+    if summary is None:
+        summary = written(summarise(df, cols), "summary")
+    probs = list(QUARTILES.values())
+    table = exact_quantiles(df, summary, cols, probs) if exact else sketched_quantiles(summary, probs)
+    quartiles = table.groupBy("column").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for n, p in QUARTILES.items()]
     )
-    long = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s"))
     return (
-        long.select("s.*")
-        .join(_quartiles(df, cols, (), exact, small=True), "column", "left")
+        summary.where(F.col("column").isin(cols))
+        .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))))
+        .withColumnRenamed("n", "count")
+        .join(quartiles, "column", "left")
         .select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
     )
 
