@@ -28,12 +28,16 @@ REQUEST = "kind int, bucket int, chunk bigint, keys binary, sums binary"
 _ANSWER = "kind int, bucket int, chunk bigint, found binary, counted array<double>"
 
 
-def chunked(documents: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """A written table of chunks: chunk, size (bytes), an array for each of `columns`, and texts."""
+def chunked(documents: DataFrame, columns: list[str], text: str, packed: bool = False) -> DataFrame:
+    """A written table of chunks: chunk, size (bytes), an array for each of `columns`, and texts.
+
+    If `packed`, texts is a compressed blob for `texts_in`, which takes less room in shuffles.
+    """
     kinds = {c: documents.schema[c].dataType.simpleString() for c in columns}
-    schema = "chunk bigint, size bigint, " + "".join(f"`{c}` array<{k}>, " for c, k in kinds.items()) + "texts array<binary>"
+    texts_kind = "binary" if packed else "array<binary>"
+    schema = "chunk bigint, size bigint, " + "".join(f"`{c}` array<{k}>, " for c, k in kinds.items()) + f"texts {texts_kind}"
 
-    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in bounded(whole, text, CHUNK_BYTES):
@@ -41,11 +45,25 @@ def chunked(documents: DataFrame, columns: list[str], text: str) -> DataFrame:
                 arrays = [pa.array([number], pa.int64()), pa.array([sum(map(len, texts))], pa.int64())]
                 ends = pa.array([0, batch.num_rows], pa.int32())
                 arrays += [pa.ListArray.from_arrays(ends, batch.column(c)) for c in columns]
-                arrays.append(pa.ListArray.from_arrays(ends, pa.array(texts, pa.binary())))
+                lists = pa.array([_blob(texts)]) if packed else pa.ListArray.from_arrays(ends, pa.array(texts, pa.binary()))
+                arrays.append(lists)
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "size", *columns, "texts"])
                 number += 1
 
-    return written(documents.select(*dict.fromkeys([*columns, text])).mapInArrow(packed, schema), "chunks")
+    return written(documents.select(*dict.fromkeys([*columns, text])).mapInArrow(cut, schema), "chunks")
+
+
+def _blob(texts: list[bytes]) -> bytes:
+    sizes = np.array([len(texts), *map(len, texts)], np.int64)
+    return zstandard.ZstdCompressor(level=6).compress(sizes.tobytes() + b"".join(texts))
+
+
+def texts_in(blob: bytes) -> list[bytes]:
+    """The texts of a packed chunk."""
+    data = _unpacked(blob)
+    n = int.from_bytes(data[:8], "little")
+    ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, np.int64, n + 1)) - n
+    return [data[a:z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 def bucket_count(chunks: DataFrame) -> int:
@@ -53,14 +71,33 @@ def bucket_count(chunks: DataFrame) -> int:
     return 1 + (chunks.agg(F.sum("size")).first()[0] or 0) // _BUCKET_BYTES
 
 
-def asked(kind: int, chunk: int, keys: np.ndarray, sums: list[np.ndarray], buckets: int) -> Iterator[tuple]:
-    """Rows of REQUEST for sorted distinct `keys`; each of `sums` is of eight-byte numbers."""
+def asked(
+    kind: int, chunk: int, keys: np.ndarray, sums: list[np.ndarray], buckets: int, coded: bool = False
+) -> Iterator[tuple]:
+    """Rows of REQUEST for sorted distinct `keys`; each of `sums` is of eight-byte numbers.
+
+    If `coded`, keys go as compressed distances, which `answers` must be told.
+    """
     top = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     cuts = np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
     for b in range(buckets):
         a, z = cuts[b], cuts[b + 1]
         if z > a:
-            yield kind, b, chunk, keys[a:z].tobytes(), _packed([s[a:z] for s in sums])
+            sent = _distances(keys[a:z]) if coded else keys[a:z].tobytes()
+            yield kind, b, chunk, sent, _packed([s[a:z] for s in sums])
+
+
+def _distances(keys: np.ndarray) -> bytes:
+    """Distances of sorted keys, all first bytes, then all second ones: the high ones are mostly 0."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return _packed([steps.view(np.uint8).reshape(-1, 8).T])
+
+
+def _keys_of(data: bytes, coded: bool) -> np.ndarray:
+    if not coded:
+        return np.frombuffer(data, np.uint64)
+    steps = np.frombuffer(_unpacked(data), np.uint8).reshape(8, -1).T
+    return np.ascontiguousarray(steps).view(np.uint64).ravel().cumsum(dtype=np.uint64)
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
@@ -82,7 +119,7 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
-def answers(requests: DataFrame, answer: Callable, label: str) -> tuple[DataFrame, dict[int, list[float]]]:
+def answers(requests: DataFrame, answer: Callable, label: str, coded: bool = False) -> tuple[DataFrame, dict[int, list[float]]]:
     """The buckets' answers, written: one row for each chunk with found, an array of
     (kind, bucket, found). With them the sums of what the buckets counted, by kind.
 
@@ -94,7 +131,7 @@ def answers(requests: DataFrame, answer: Callable, label: str) -> tuple[DataFram
 
     def answered(table: pa.Table) -> pa.Table:
         kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
-        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+        keys = [_keys_of(k, coded) for k in table.column("keys").to_pylist()]
         sizes = np.array([len(k) for k in keys])
         raw = table.column("sums").to_pylist()
         parts = [np.frombuffer(_unpacked(r), np.float64).reshape(-1, n) for r, n in zip(raw, sizes)]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.exchange import REQUEST, answers, asked, batch_of, bucket_count, chunked, joined, received
+from millrace.llm.exchange import REQUEST, answers, asked, batch_of, bucket_count, chunked, joined, received, texts_in
 from millrace.llm.storage import written
 from millrace.llm.text import Words, mixed, paired
 
@@ -64,27 +64,32 @@ class Model:
 
 
 class _Grams:
-    """Distinct n-grams of a chunk up to an order, numbered; the tokens of its documents."""
+    """Distinct n-grams of a chunk up to an order, numbered; the tokens of its documents.
 
-    def __init__(self, texts: list[bytes], trained: np.ndarray, order: int) -> None:
+    `order` is that of the model, which decides on the start marks; n-grams are made `upto` theirs.
+    """
+
+    def __init__(self, texts: list[bytes], trained: np.ndarray, order: int, upto: int) -> None:
         words = Words()
         pad = [_START] * (order - 1)
         parts = [words.numbers([*pad, *t.lower().split(), _END]) for t in texts]
         self.sizes = np.array([len(p) for p in parts], np.int64) - (order - 1)
-        self.order = order
+        self.asked = {}
         token = np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int64)
         lengths = self.sizes + order - 1
         place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         real = place >= order - 1
         self.document = np.repeat(np.arange(len(parts)), lengths)[real]
-        trains = np.repeat(trained, lengths) & real
+        teaches = np.repeat(trained, lengths)
+        trains = teaches & real
         hashes = mixed(words.hashes())
         self.keys = {1: hashes}
         self.at, self.counts = {1: token}, {}
         self.context, self.suffix, self.there = {}, {}, {}
         self.counts[1] = np.bincount(token[trains], minlength=len(hashes)).astype(float)
+        self.held = {1: np.bincount(token[~teaches], minlength=len(hashes)).astype(float)}
         n = len(hashes)
-        for k in range(2, order + 1):
+        for k in range(2, upto + 1):
             before = np.concatenate([[0], self.at[k - 1][:-1]])
             # Places with too few tokens before them have no n-gram; they share the number of -1.
             code = np.where(place >= k - 1, before * n + token, -1)
@@ -94,75 +99,104 @@ class _Grams:
             self.suffix[k] = self.at[k - 1][first]
             self.keys[k] = paired(self.keys[k - 1][self.context[k]], hashes[word])
             self.counts[k] = np.bincount(at[trains], minlength=len(distinct)).astype(float)
+            self.held[k] = np.bincount(at[~teaches], minlength=len(distinct)).astype(float)
         self.at = {k: a[real] for k, a in self.at.items()}
 
     def question(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted keys of order k, and the place of every n-gram among them."""
-        return np.unique(self.keys[k], return_inverse=True)
+        if k not in self.asked:
+            self.asked[k] = np.unique(self.keys[k], return_inverse=True)
+        return self.asked[k]
+
+
+def _counts(found: list[dict], k: int) -> list[np.ndarray]:
+    """By key: counts in the corpus, whether this chunk is the first to ask, whether held-out texts hold it."""
+    return received(found, k, [np.float64, np.uint8, np.uint8])
+
+
+def _open(counts: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which contexts have to be asked about.
+
+    A context that trained 1 to `DISCOUNTED` times has no successor that is too frequent for a
+    discount, and its own count is that of its successors; unless held-out texts hold it, no
+    unseen successor needs its backoff weight. Start marks have no count of their own.
+    """
+    return (counts == 0) | (counts > DISCOUNTED) | (held > 0)
 
 
 def _probabilities(g: _Grams, model: Model, found: list[dict], upto: int):
-    """By order: the probability of each of the chunk's n-grams, and its count in the corpus."""
+    """By order: the probability of each of the chunk's n-grams, and its count in the corpus.
+
+    Unseen n-grams of contexts that are not `_open` have none; no text holds them.
+    """
     chance, total = {}, {}
     for k in range(1, upto + 1):
-        keys, place = g.question(k)
-        counts, _ = received(found, k, [np.float64, np.uint8])
-        total[k] = counts[place]
+        _, place = g.question(k)
+        total[k] = _counts(found, k)[0][place]
         kept = model.kept(k, total[k])
         if k == 1:
             seen = model.scale * kept / max(model.tokens, 1)
             chance[1] = np.where(total[1] > 0, seen, model.unknown)
             continue
         _, place = g.question(k - 1)
-        whole, left = received(found, _CONTEXTS + k, [np.float64, np.float64])
+        whole, _, held = _counts(found, k - 1)
+        asked_for, left = _open(whole, held), np.ones(len(whole))
+        whole = whole.copy()
+        whole[asked_for], left[asked_for] = received(found, _CONTEXTS + k, [np.float64, np.float64])
         at = place[g.context[k]]
         backed = left[at] * chance[k - 1][g.suffix[k]]
         chance[k] = np.where(total[k] > 0, kept / np.maximum(whole[at], 1e-300), backed)
     return chance, total
 
 
-def _counting(order: int, buckets: int):
+def _asking(model: Model, weighs: int, counts: list[int], order: int, buckets: int):
+    """Questions about the weights of order `weighs`, if it is not 0, and the counts of some orders.
+
+    For weights each n-gram is summed up by the one chunk that asked for its count first.
+    """
+
+    def contexts(g: _Grams, found: list[dict]) -> tuple[np.ndarray, list[np.ndarray]]:
+        chance, _ = _probabilities(g, model, found, weighs - 1)
+        _, place = g.question(weighs)
+        counts, owner, _ = _counts(found, weighs)
+        own = g.there[weighs] & (counts[place] > 0) & (owner[place] > 0)
+        counts = np.where(own, counts[place], 0.0)
+        lower = np.where(own, chance[weighs - 1][g.suffix[weighs]], 0.0)
+        keys, place = g.question(weighs - 1)
+        total, _, held = _counts(found, weighs - 1)
+        at, sent = place[g.context[weighs]], _open(total, held)
+        sums = [np.bincount(at, x, len(keys))[sent] for x in (counts, model.kept(weighs, counts), lower)]
+        return keys[sent], sums
+
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                g = _Grams(row["texts"], np.array(row["trained"], bool), order)
-                for k in range(1, order + 1):
+                g = _Grams(texts_in(row["texts"]), np.array(row["trained"], bool), order, max(weighs, *counts, 1))
+                rows = []
+                if weighs:
+                    rows += asked(_CONTEXTS + weighs, row["chunk"], *contexts(g, row["found"]), buckets, coded=True)
+                for k in counts:
                     keys, place = g.question(k)
-                    sums = np.bincount(place, g.counts[k], len(keys))
-                    yield batch_of(list(asked(k, row["chunk"], keys, [sums], buckets)), REQUEST)
+                    sums = [np.bincount(place, x, len(keys)) for x in (g.counts[k], g.held[k])]
+                    rows += asked(k, row["chunk"], keys, sums, buckets, coded=True)
+                yield batch_of(rows, REQUEST)
 
     return ask
 
 
-def _counted(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
-    """Counts in the whole corpus; tokens, types and how many occur 1, 2, .. times."""
-    counts = sums[0]
-    often = np.bincount(np.minimum(counts, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
-    return [counts[inverse], first.astype(np.uint8)], [counts.sum(), float((counts > 0).sum()), *map(float, often[1:])]
-
-
-def _weighing(model: Model, k: int, buckets: int):
-    """Contexts of order k: each n-gram is summed up by the one chunk that asked for it first."""
+def _answered(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
+    return (_weighed if kind > _CONTEXTS else _counted)(inverse, sums, first)
 
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                g = _Grams(row["texts"], np.array(row["trained"], bool), model.order)
-                chance, _ = _probabilities(g, model, row["found"], k - 1)
-                keys, place = g.question(k)
-                counts, owner = received(row["found"], k, [np.float64, np.uint8])
-                own = g.there[k] & (counts[place] > 0) & (owner[place] > 0)
-                counts = np.where(own, counts[place], 0.0)
-                lower = np.where(own, chance[k - 1][g.suffix[k]], 0.0)
-                keys, place = g.question(k - 1)
-                at = place[g.context[k]]
-                sums = [np.bincount(at, x, len(keys)) for x in (counts, model.kept(k, counts), lower)]
-                yield batch_of(list(asked(_CONTEXTS + k, row["chunk"], keys, sums, buckets)), REQUEST)
 
-    return ask
+def _counted(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
+    """Counts in the whole corpus; tokens, types and how many occur 1, 2, .. times."""
+    counts, held = sums
+    often = np.bincount(np.minimum(counts, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
+    found = [counts[inverse], first.astype(np.uint8), (held > 0)[inverse].astype(np.uint8)]
+    return found, [counts.sum(), float((counts > 0).sum()), *map(float, often[1:])]
 
 
-def _weighed(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
+def _weighed(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
     """For each context the count that kept counts are divided by, and the backoff weight.
 
     Seen and unseen successors add up to 1 exactly. A context whose counts are all too large for
@@ -182,7 +216,7 @@ def _scoring(model: Model, key: str):
         for batch in batches:
             for i in range(batch.num_rows):
                 trained = np.array(batch.column("trained")[i].as_py(), bool)
-                g = _Grams(batch.column("texts")[i].as_py(), trained, model.order)
+                g = _Grams(texts_in(batch.column("texts")[i].as_py()), trained, model.order, model.order)
                 chance, total = _probabilities(g, model, batch.column("found")[i].as_py(), model.order)
                 n = len(g.sizes)
                 log = np.log10(chance[model.order])[g.at[model.order]]
@@ -217,19 +251,21 @@ def score_texts(
     their own, a null in `trains` is false, and other columns may have any name. Where no text
     trains, every token is unknown.
 
-    Counts of all orders, and then the weights of each order, are written as tables by bucket
-    and chunk; the driver gets a few sums for each order.
+    Counts of single tokens and pairs are written as a table by bucket and chunk, then the
+    weights of each order with the counts of the next; the driver gets a few sums for each order.
     """
-    chunks = chunked(documents.withColumn("trained", F.coalesce(trains, F.lit(False))), [key, "trained"], text)
+    trained = documents.withColumn("trained", F.coalesce(trains, F.lit(False)))
+    chunks = chunked(trained, [key, "trained"], text, packed=True)
     buckets = bucket_count(chunks)
-    requests = chunks.select("chunk", "texts", "trained").mapInArrow(_counting(order, buckets), REQUEST)
-    found, counted = answers(requests, _counted, "counts")
-    model, replies = Model(order, counted), [found]
     columns = ("chunk", "texts", "trained", "found")
-    for k in range(2, order + 1):
-        requests = joined(chunks, replies).select(*columns).mapInArrow(_weighing(model, k, buckets), REQUEST)
-        found, _ = answers(requests, _weighed, "weights")
+    counted, replies = {}, []
+    for weighs, counts in [(0, [1, 2][:order]), *((k, [k + 1][: order - k]) for k in range(2, order + 1))]:
+        asking = _asking(Model(max(weighs, 1), counted), weighs, counts, order, buckets)
+        requests = joined(chunks, replies).select(*columns).mapInArrow(asking, REQUEST)
+        found, sums = answers(requests, _answered, "counts", coded=True)
+        counted |= sums
         replies.append(found)
+    model = Model(order, counted)
     kind = documents.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return written(joined(chunks, replies).select(key, *columns[1:]).mapInArrow(_scoring(model, key), schema), "scores", 1)
