@@ -28,13 +28,13 @@ REQUEST = "kind int, bucket int, chunk bigint, keys binary, sums binary"
 _ANSWER = "kind int, bucket int, chunk bigint, found binary, counted array<double>"
 
 
-def chunked(documents: DataFrame, columns: list[str], text: str, packed: bool = False) -> DataFrame:
+def chunked(documents: DataFrame, columns: list[str], text: str, blob: Callable | None = None) -> DataFrame:
     """A written table of chunks: chunk, size (bytes), an array for each of `columns`, and texts.
 
-    If `packed`, texts is a compressed blob for `texts_in`, which takes less room in shuffles.
+    With `blob`, texts is what that makes of their list, compressed bytes (`unpacked`).
     """
     kinds = {c: documents.schema[c].dataType.simpleString() for c in columns}
-    texts_kind = "binary" if packed else "array<binary>"
+    texts_kind = "binary" if blob else "array<binary>"
     schema = "chunk bigint, size bigint, " + "".join(f"`{c}` array<{k}>, " for c, k in kinds.items()) + f"texts {texts_kind}"
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +45,7 @@ def chunked(documents: DataFrame, columns: list[str], text: str, packed: bool =
                 arrays = [pa.array([number], pa.int64()), pa.array([sum(map(len, texts))], pa.int64())]
                 ends = pa.array([0, batch.num_rows], pa.int32())
                 arrays += [pa.ListArray.from_arrays(ends, batch.column(c)) for c in columns]
-                lists = pa.array([_blob(texts)]) if packed else pa.ListArray.from_arrays(ends, pa.array(texts, pa.binary()))
+                lists = pa.array([compressed(blob(texts))]) if blob else pa.ListArray.from_arrays(ends, pa.array(texts, pa.binary()))
                 arrays.append(lists)
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "size", *columns, "texts"])
                 number += 1
@@ -53,19 +53,6 @@ def chunked(documents: DataFrame, columns: list[str], text: str, packed: bool =
     return written(documents.select(*dict.fromkeys([*columns, text])).mapInArrow(cut, schema), "chunks")
 
 
-def _blob(texts: list[bytes]) -> bytes:
-    sizes = np.array([len(texts), *map(len, texts)], np.int64)
-    return zstandard.ZstdCompressor(level=6).compress(sizes.tobytes() + b"".join(texts))
-
-
-def texts_in(blob: bytes) -> list[bytes]:
-    """The texts of a packed chunk."""
-    data = _unpacked(blob)
-    n = int.from_bytes(data[:8], "little")
-    ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, np.int64, n + 1)) - n
-    return [data[a:z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
-
-
 def bucket_count(chunks: DataFrame) -> int:
     """Buckets in proportion to the text."""
     return 1 + (chunks.agg(F.sum("size")).first()[0] or 0) // _BUCKET_BYTES
@@ -76,36 +63,51 @@ def asked(
 ) -> Iterator[tuple]:
     """Rows of REQUEST for sorted distinct `keys`; each of `sums` is of eight-byte numbers.
 
-    If `coded`, keys go as compressed distances, which `answers` must be told.
+    If `coded`, keys go as distances, and all numbers by planes; `answers` must be told.
     """
     top = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     cuts = np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
     for b in range(buckets):
         a, z = cuts[b], cuts[b + 1]
         if z > a:
-            sent = _distances(keys[a:z]) if coded else keys[a:z].tobytes()
-            yield kind, b, chunk, sent, _packed([s[a:z] for s in sums])
+            if coded:
+                distances = np.diff(keys[a:z], prepend=np.uint64(0))
+                yield kind, b, chunk, _packed([planes(distances)]), _packed([planes(s[a:z]) for s in sums])
+            else:
+                yield kind, b, chunk, keys[a:z].tobytes(), _packed([s[a:z] for s in sums])
+
 
+def planes(numbers: np.ndarray) -> np.ndarray:
+    """All first bytes of some numbers, then all second ones: those that are mostly 0 compress well."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.dtype.itemsize).T
 
-def _distances(keys: np.ndarray) -> bytes:
-    """Distances of sorted keys, all first bytes, then all second ones: the high ones are mostly 0."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return _packed([steps.view(np.uint8).reshape(-1, 8).T])
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 def _keys_of(data: bytes, coded: bool) -> np.ndarray:
+    return from_planes(unpacked(data), np.uint64).cumsum(dtype=np.uint64) if coded else np.frombuffer(data, np.uint64)
+
+
+def _sums_of(data: bytes, n: int, coded: bool) -> np.ndarray:
     if not coded:
-        return np.frombuffer(data, np.uint64)
-    steps = np.frombuffer(_unpacked(data), np.uint8).reshape(8, -1).T
-    return np.ascontiguousarray(steps).view(np.uint64).ravel().cumsum(dtype=np.uint64)
+        return np.frombuffer(unpacked(data), np.float64).reshape(-1, n)
+    parts = np.frombuffer(unpacked(data), np.uint8).reshape(-1, 8 * n)
+    return np.stack([from_planes(part, np.float64) for part in parts])
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
     """Columns one after the other, compressed: most counts are small and alike."""
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+    return compressed(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+
+
+def compressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def _unpacked(data: bytes) -> bytes:
+def unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
@@ -134,7 +136,7 @@ def answers(requests: DataFrame, answer: Callable, label: str, coded: bool = Fal
         keys = [_keys_of(k, coded) for k in table.column("keys").to_pylist()]
         sizes = np.array([len(k) for k in keys])
         raw = table.column("sums").to_pylist()
-        parts = [np.frombuffer(_unpacked(r), np.float64).reshape(-1, n) for r, n in zip(raw, sizes)]
+        parts = [_sums_of(r, n, coded) for r, n in zip(raw, sizes)]
         distinct, at, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         own = np.concatenate(parts, axis=1)
         sums = np.stack([np.bincount(inverse, row, len(distinct)) for row in own])
@@ -172,7 +174,7 @@ def received(found: list[dict], kind: int, kinds: list[type]) -> list[np.ndarray
     width = sum(np.dtype(k).itemsize for k in kinds)
     parts: list[list[np.ndarray]] = [[] for _ in kinds]
     for row in sorted((r for r in found if r["kind"] == kind), key=lambda r: r["bucket"]):
-        data = _unpacked(row["found"])
+        data = unpacked(row["found"])
         n, start = len(data) // width, 0
         for part, k in zip(parts, kinds):
             part.append(np.frombuffer(data, k, n, start))

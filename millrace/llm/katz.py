@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.exchange import REQUEST, answers, asked, batch_of, bucket_count, chunked, joined, received, texts_in
+from millrace.llm.exchange import (
+    REQUEST,
+    answers,
+    asked,
+    batch_of,
+    bucket_count,
+    chunked,
+    from_planes,
+    joined,
+    planes,
+    received,
+    unpacked,
+)
 from millrace.llm.storage import written
 from millrace.llm.text import Words, mixed, paired
 
@@ -18,6 +31,7 @@ DISCOUNTED = 5
 #: Additive smoothing of the base score.
 ADDED = 0.1
 _START, _END = b"\n<", b"\n>"  # no word holds a line feed
+_COUNT_BYTES = 6  # of a count in an answer
 _CONTEXTS = 100  # kinds of questions about contexts: this plus the order
 
 
@@ -63,55 +77,62 @@ class Model:
         return counts * np.where((counts > 0) & (counts <= DISCOUNTED), self.discounts[k][low], 1.0)
 
 
+def _numbered(texts: list[bytes], order: int) -> bytes:
+    """A chunk as numbers: tokens of each document, start marks and end among them, sorted keys
+    of the distinct tokens, and the place of every token's key."""
+    words, pad = Words(), [_START] * (order - 1)
+    parts = [words.numbers([*pad, *t.lower().split(), _END]) for t in texts]
+    keys, place = np.unique(mixed(words.hashes()), return_inverse=True)
+    lengths = np.array([len(p) for p in parts], np.int64)
+    tokens = place[np.concatenate([np.zeros(0, np.int32), *parts])].astype(np.uint32)
+    head = np.array([len(lengths), len(keys)], np.int64)
+    return b"".join([head.tobytes(), lengths.tobytes(), keys.tobytes(), planes(tokens).tobytes()])
+
+
 class _Grams:
-    """Distinct n-grams of a chunk up to an order, numbered; the tokens of its documents.
+    """Distinct n-grams of a chunk up to an order, numbered by their sorted keys.
 
     `order` is that of the model, which decides on the start marks; n-grams are made `upto` theirs.
     """
 
-    def __init__(self, texts: list[bytes], trained: np.ndarray, order: int, upto: int) -> None:
-        words = Words()
-        pad = [_START] * (order - 1)
-        parts = [words.numbers([*pad, *t.lower().split(), _END]) for t in texts]
-        self.sizes = np.array([len(p) for p in parts], np.int64) - (order - 1)
-        self.asked = {}
-        token = np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int64)
-        lengths = self.sizes + order - 1
+    def __init__(self, blob: bytes, trained: np.ndarray, order: int, upto: int) -> None:
+        data = unpacked(blob)
+        documents, types = np.frombuffer(data, np.int64, 2).tolist()
+        lengths = np.frombuffer(data, np.int64, documents, 16)
+        hashes = np.frombuffer(data, np.uint64, types, 16 + 8 * documents)
+        token = from_planes(data[16 + 8 * (documents + types) :], np.uint32).astype(np.int64)
+        self.sizes = lengths - (order - 1)
         place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         real = place >= order - 1
-        self.document = np.repeat(np.arange(len(parts)), lengths)[real]
+        self.document = np.repeat(np.arange(documents), lengths)[real]
         teaches = np.repeat(trained, lengths)
         trains = teaches & real
-        hashes = mixed(words.hashes())
-        self.keys = {1: hashes}
-        self.at, self.counts = {1: token}, {}
-        self.context, self.suffix, self.there = {}, {}, {}
-        self.counts[1] = np.bincount(token[trains], minlength=len(hashes)).astype(float)
-        self.held = {1: np.bincount(token[~teaches], minlength=len(hashes)).astype(float)}
-        n = len(hashes)
-        for k in range(2, upto + 1):
-            before = np.concatenate([[0], self.at[k - 1][:-1]])
-            # Places with too few tokens before them have no n-gram; they share the number of -1.
-            code = np.where(place >= k - 1, before * n + token, -1)
-            distinct, first, at = np.unique(code, return_index=True, return_inverse=True)
-            self.at[k], self.there[k] = at, distinct >= 0
-            self.context[k], word = np.divmod(np.maximum(distinct, 0), n)
-            self.suffix[k] = self.at[k - 1][first]
-            self.keys[k] = paired(self.keys[k - 1][self.context[k]], hashes[word])
-            self.counts[k] = np.bincount(at[trains], minlength=len(distinct)).astype(float)
-            self.held[k] = np.bincount(at[~teaches], minlength=len(distinct)).astype(float)
+        self.keys, self.at = {1: hashes}, {1: token}
+        self.context, self.suffix, self.there, self.counts, self.held = {}, {}, {}, {}, {}
+        for k in range(1, upto + 1):
+            if k > 1:
+                before = np.concatenate([[0], self.at[k - 1][:-1]])
+                # Places with too few tokens before them have no n-gram; they share the key 0.
+                key = np.where(place >= k - 1, paired(self.keys[k - 1][before], hashes[token]), np.uint64(0))
+                by_key = np.argsort(key)
+                key = key[by_key]
+                new = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+                self.at[k] = np.empty(len(key), np.int64)
+                self.at[k][by_key] = np.cumsum(new) - 1
+                self.keys[k], some = key[new], by_key[new]
+                self.there[k] = self.keys[k] != 0
+                self.context[k], self.suffix[k] = before[some], self.at[k - 1][some]
+            n = len(self.keys[k])
+            self.counts[k] = np.bincount(self.at[k][trains], minlength=n).astype(float)
+            self.held[k] = np.bincount(self.at[k][~teaches], minlength=n).astype(float)
         self.at = {k: a[real] for k, a in self.at.items()}
 
-    def question(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys of order k, and the place of every n-gram among them."""
-        if k not in self.asked:
-            self.asked[k] = np.unique(self.keys[k], return_inverse=True)
-        return self.asked[k]
-
 
 def _counts(found: list[dict], k: int) -> list[np.ndarray]:
     """By key: counts in the corpus, whether this chunk is the first to ask, whether held-out texts hold it."""
-    return received(found, k, [np.float64, np.uint8, np.uint8])
+    *digits, flags = received(found, k, [np.uint8] * (_COUNT_BYTES + 1))
+    counts = sum(d.astype(np.float64) * 256.0**i for i, d in enumerate(digits))
+    return [counts, flags & 1, flags >> 1]
 
 
 def _open(counts: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -131,19 +152,16 @@ def _probabilities(g: _Grams, model: Model, found: list[dict], upto: int):
     """
     chance, total = {}, {}
     for k in range(1, upto + 1):
-        _, place = g.question(k)
-        total[k] = _counts(found, k)[0][place]
+        total[k] = _counts(found, k)[0]
         kept = model.kept(k, total[k])
         if k == 1:
             seen = model.scale * kept / max(model.tokens, 1)
             chance[1] = np.where(total[1] > 0, seen, model.unknown)
             continue
-        _, place = g.question(k - 1)
         whole, _, held = _counts(found, k - 1)
         asked_for, left = _open(whole, held), np.ones(len(whole))
-        whole = whole.copy()
         whole[asked_for], left[asked_for] = received(found, _CONTEXTS + k, [np.float64, np.float64])
-        at = place[g.context[k]]
+        at = g.context[k]
         backed = left[at] * chance[k - 1][g.suffix[k]]
         chance[k] = np.where(total[k] > 0, kept / np.maximum(whole[at], 1e-300), backed)
     return chance, total
@@ -157,28 +175,25 @@ def _asking(model: Model, weighs: int, counts: list[int], order: int, buckets: i
 
     def contexts(g: _Grams, found: list[dict]) -> tuple[np.ndarray, list[np.ndarray]]:
         chance, _ = _probabilities(g, model, found, weighs - 1)
-        _, place = g.question(weighs)
         counts, owner, _ = _counts(found, weighs)
-        own = g.there[weighs] & (counts[place] > 0) & (owner[place] > 0)
-        counts = np.where(own, counts[place], 0.0)
+        own = g.there[weighs] & (counts > 0) & (owner > 0)
+        counts = np.where(own, counts, 0.0)
         lower = np.where(own, chance[weighs - 1][g.suffix[weighs]], 0.0)
-        keys, place = g.question(weighs - 1)
+        keys = g.keys[weighs - 1]
         total, _, held = _counts(found, weighs - 1)
-        at, sent = place[g.context[weighs]], _open(total, held)
+        at, sent = g.context[weighs], _open(total, held)
         sums = [np.bincount(at, x, len(keys))[sent] for x in (counts, model.kept(weighs, counts), lower)]
         return keys[sent], sums
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                g = _Grams(texts_in(row["texts"]), np.array(row["trained"], bool), order, max(weighs, *counts, 1))
+                g = _Grams(row["texts"], np.array(row["trained"], bool), order, max(weighs, *counts, 1))
                 rows = []
                 if weighs:
                     rows += asked(_CONTEXTS + weighs, row["chunk"], *contexts(g, row["found"]), buckets, coded=True)
                 for k in counts:
-                    keys, place = g.question(k)
-                    sums = [np.bincount(place, x, len(keys)) for x in (g.counts[k], g.held[k])]
-                    rows += asked(k, row["chunk"], keys, sums, buckets, coded=True)
+                    rows += asked(k, row["chunk"], g.keys[k], [g.counts[k], g.held[k]], buckets, coded=True)
                 yield batch_of(rows, REQUEST)
 
     return ask
@@ -192,8 +207,9 @@ def _counted(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
     """Counts in the whole corpus; tokens, types and how many occur 1, 2, .. times."""
     counts, held = sums
     often = np.bincount(np.minimum(counts, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
-    found = [counts[inverse], first.astype(np.uint8), (held > 0)[inverse].astype(np.uint8)]
-    return found, [counts.sum(), float((counts > 0).sum()), *map(float, often[1:])]
+    flags = first.astype(np.uint8) | ((held > 0)[inverse].astype(np.uint8) << 1)
+    digits = planes(counts.astype(np.uint64)[inverse])[:_COUNT_BYTES]
+    return [*digits, flags], [counts.sum(), float((counts > 0).sum()), *map(float, often[1:])]
 
 
 def _weighed(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
@@ -216,7 +232,7 @@ def _scoring(model: Model, key: str):
         for batch in batches:
             for i in range(batch.num_rows):
                 trained = np.array(batch.column("trained")[i].as_py(), bool)
-                g = _Grams(texts_in(batch.column("texts")[i].as_py()), trained, model.order, model.order)
+                g = _Grams(batch.column("texts")[i].as_py(), trained, model.order, model.order)
                 chance, total = _probabilities(g, model, batch.column("found")[i].as_py(), model.order)
                 n = len(g.sizes)
                 log = np.log10(chance[model.order])[g.at[model.order]]
@@ -255,7 +271,7 @@ def score_texts(
     weights of each order with the counts of the next; the driver gets a few sums for each order.
     """
     trained = documents.withColumn("trained", F.coalesce(trains, F.lit(False)))
-    chunks = chunked(trained, [key, "trained"], text, packed=True)
+    chunks = chunked(trained, [key, "trained"], text, partial(_numbered, order=order))
     buckets = bucket_count(chunks)
     columns = ("chunk", "texts", "trained", "found")
     counted, replies = {}, []
