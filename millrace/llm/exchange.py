@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.storage import written
 from millrace.llm.text import bounded, texts_of
+from millrace.sources.scratch import scratch_path
 
 CHUNK_BYTES = 4 << 20
 _BUCKET_BYTES = 12 << 20
@@ -28,10 +29,11 @@ REQUEST = "kind int, bucket int, chunk bigint, keys binary, sums binary"
 _ANSWER = "kind int, bucket int, chunk bigint, found binary, counted array<double>"
 
 
-def chunked(documents: DataFrame, columns: list[str], text: str, blob: Callable | None = None) -> DataFrame:
+def chunked(documents: DataFrame, columns: list[str], text: str, blob: Callable | None = None, name: str = "") -> DataFrame:
     """A written table of chunks: chunk, size (bytes), an array for each of `columns`, and texts.
 
-    With `blob`, texts is what that makes of their list, compressed bytes (`unpacked`).
+    With `blob`, texts is what that makes of their list, compressed bytes (`unpacked`), and the
+    table is one of the catalog, `name`, in buckets by chunk: joins by chunk do not shuffle it.
     """
     kinds = {c: documents.schema[c].dataType.simpleString() for c in columns}
     texts_kind = "binary" if blob else "array<binary>"
@@ -50,7 +52,13 @@ def chunked(documents: DataFrame, columns: list[str], text: str, blob: Callable
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "size", *columns, "texts"])
                 number += 1
 
-    return written(documents.select(*dict.fromkeys([*columns, text])).mapInArrow(cut, schema), "chunks")
+    chunks = documents.select(*dict.fromkeys([*columns, text])).mapInArrow(cut, schema)
+    if not blob:
+        return written(chunks, "chunks")
+    spark = documents.sparkSession
+    writer = chunks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").sortBy("chunk")
+    writer.option("compression", "zstd").option("path", scratch_path(spark, "chunks")).saveAsTable(name)
+    return spark.table(name)
 
 
 def bucket_count(chunks: DataFrame) -> int:

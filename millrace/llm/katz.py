@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -78,15 +79,18 @@ class Model:
 
 
 def _numbered(texts: list[bytes], order: int) -> bytes:
-    """A chunk as numbers: tokens of each document, start marks and end among them, sorted keys
-    of the distinct tokens, and the place of every token's key."""
+    """A chunk as numbers: tokens of each document, start marks and end among them, keys of the
+    distinct tokens, the most frequent first, and for every token the place of its key."""
     words, pad = Words(), [_START] * (order - 1)
     parts = [words.numbers([*pad, *t.lower().split(), _END]) for t in texts]
     keys, place = np.unique(mixed(words.hashes()), return_inverse=True)
+    tokens = place[np.concatenate([np.zeros(0, np.int32), *parts])]
+    often = np.argsort(-np.bincount(tokens, minlength=len(keys)), kind="stable")
+    rank = np.empty(len(keys), np.uint32)
+    rank[often] = np.arange(len(keys))
     lengths = np.array([len(p) for p in parts], np.int64)
-    tokens = place[np.concatenate([np.zeros(0, np.int32), *parts])].astype(np.uint32)
     head = np.array([len(lengths), len(keys)], np.int64)
-    return b"".join([head.tobytes(), lengths.tobytes(), keys.tobytes(), planes(tokens).tobytes()])
+    return b"".join([head.tobytes(), lengths.tobytes(), keys[often].tobytes(), planes(rank[tokens]).tobytes()])
 
 
 class _Grams:
@@ -99,8 +103,8 @@ class _Grams:
         data = unpacked(blob)
         documents, types = np.frombuffer(data, np.int64, 2).tolist()
         lengths = np.frombuffer(data, np.int64, documents, 16)
-        hashes = np.frombuffer(data, np.uint64, types, 16 + 8 * documents)
-        token = from_planes(data[16 + 8 * (documents + types) :], np.uint32).astype(np.int64)
+        hashes, number = np.unique(np.frombuffer(data, np.uint64, types, 16 + 8 * documents), return_inverse=True)
+        token = number[from_planes(data[16 + 8 * (documents + types) :], np.uint32)]
         self.sizes = lengths - (order - 1)
         place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         real = place >= order - 1
@@ -271,7 +275,8 @@ def score_texts(
     weights of each order with the counts of the next; the driver gets a few sums for each order.
     """
     trained = documents.withColumn("trained", F.coalesce(trains, F.lit(False)))
-    chunks = chunked(trained, [key, "trained"], text, partial(_numbered, order=order))
+    name = f"katz_chunks_{uuid.uuid4().hex}"
+    chunks = chunked(trained, [key, "trained"], text, partial(_numbered, order=order), name)
     buckets = bucket_count(chunks)
     columns = ("chunk", "texts", "trained", "found")
     counted, replies = {}, []
@@ -284,4 +289,6 @@ def score_texts(
     model = Model(order, counted)
     kind = documents.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return written(joined(chunks, replies).select(key, *columns[1:]).mapInArrow(_scoring(model, key), schema), "scores", 1)
+    scores = written(joined(chunks, replies).select(key, *columns[1:]).mapInArrow(_scoring(model, key), schema), "scores", 1)
+    documents.sparkSession.sql(f"DROP TABLE {name}")
+    return scores
