@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import models
 from millrace import operators as op
+from millrace.catalog import training
 from millrace.sources import scratch_path
 
 
@@ -172,3 +173,18 @@ def test_codes_scan_the_source_once_for_all_columns(spark, sf_dir, monkeypatch):
     assert op.label_encode(df, df.columns).exceptAll(encoded).count() == 0 and seen == [1, 1, 0]
     row = encoded.where("l_linenumber = 1").first()
     assert row["l_linenumber_encoded"] == 0
+
+
+def test_shares_of_letters_are_written_once(spark, tmp_path):
+    """All passes of a fit read ten numbers a document, and not its text."""
+    texts = ["Anna sah ÉÀ! 東京 \U0001f600 aAa", "", None, "xyz", "İstanbul ſe K\u212a", "theories\nof a shore"]
+    rows = [(i if i != 3 else None, t, ["en", "fr", "de", "es", None, "en"][i]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for classes, labels in ((2, [1, 0, 0, 0, None, 1]), (4, [0, 1, 2, 3, None, 0])):
+        parts = training._letters(spark, str(tmp_path), classes)
+        assert not any("documents.parquet" in f for part in parts for f in part.inputFiles())
+        got = {r.doc_id: (r.label, list(r.features)) for part in parts for r in part.collect()}
+        assert len(got) == len(rows)
+        for (key, text, _), label in zip(rows, labels):
+            lower = spark.createDataFrame([(text or "",)], "t string").select(F.lower("t")).first()[0]
+            assert got[key] == (label, [lower.count(c) / max(1, len(lower)) for c in training._LETTERS])
