@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace import models
 from millrace import operators as op
 from millrace.catalog import training
+from millrace.models import train
 from millrace.sources import scratch_path
 
 
@@ -188,3 +189,21 @@ def test_shares_of_letters_are_written_once(spark, tmp_path):
         for (key, text, _), label in zip(rows, labels):
             lower = spark.createDataFrame([(text or "",)], "t string").select(F.lower("t")).first()[0]
             assert got[key] == (label, [lower.count(c) / max(1, len(lower)) for c in training._LETTERS])
+
+
+def test_large_parts_are_spread_before_a_fit(spark, monkeypatch):
+    """What one task of a fit holds is bounded by rows, however few parts the source has."""
+    monkeypatch.setattr(train, "ROWS_PER_TASK", 100, raising=False)
+
+    def parts(df):
+        return [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+
+    df = spark.range(950).select((F.col("id") % 7).alias("x"), F.lit(None).cast("long").alias("label")).coalesce(1)
+    with train.kept(df) as rows:
+        assert max(parts(rows)) <= 110 and sum(parts(rows)) == 950
+        assert rows.exceptAll(df).count() == 0
+        with train.kept(rows.where("x > 2")) as fewer:
+            assert len(parts(fewer)) == 10  # small parts stay
+    for small in (df.limit(90), df.limit(0)):
+        with train.kept(small) as rows:
+            assert rows is small
