@@ -7,6 +7,7 @@ broadcast; larger ones take another way to the same result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -18,9 +19,11 @@ from millrace.functions.columns import col, field, present
 from millrace.functions.hashing import hash_uniform
 from millrace.operators.order_statistics import bucketed
 from millrace.operators.sizes import MAX_ROWS, broadcast_if, fits_broadcast
+from millrace.sources.scratch import written
 
 MAX_SCANNED_BANDS = 64  # bands that are compared one by one with every row
 SALTS = 8  # parts of a bucket's rows
+ROWS_PER_TASK = 1 << 18  # rows of both sides of a large join that one task sorts, about
 
 
 def join_reference(
@@ -32,9 +35,8 @@ def join_reference(
     full outer join cannot broadcast, and shuffling by a key of few values puts most rows into
     few tasks. Here rows are matched with a left join, and the reference rows that no row
     matches are appended: their keys are found by a semi join that is reduced map-side. A
-    reference of at most `max_rows` rows is broadcast, so rows are matched where they lie; with
-    a larger one the left join is one whose frequent keys Spark can split. Rows without a key
-    take no part in the joins.
+    reference of at most `max_rows` rows is broadcast, so rows are matched where they lie; for
+    a larger one see `_joined_by_parts`. Rows without a key take no part in the joins.
     """
     left, right = on
     small = fits_broadcast(ref, max_rows)
@@ -43,17 +45,57 @@ def join_reference(
     key = names[ref.columns.index(right)]
     both = [*df.columns, *ref.columns]
     keyed = df.filter(col(left).isNotNull())
-    matched = keyed.join(broadcast_if(small, side), col(left) == col(key), "left")
     apart = df.filter(col(left).isNull()).select("*", *_nulls(side))
+    if not small:
+        matched, unmatched = _joined_by_parts(keyed, left, side, key)
+        return matched.union(apart).union(unmatched.select(*_nulls(df), *names)).toDF(*both)
+    matched = keyed.join(F.broadcast(side), col(left) == col(key), "left")
     seen = (
         keyed.select(col(left).alias("__key"))
-        .join(broadcast_if(small, side.select(key)), F.col("__key") == col(key), "left_semi")
+        .join(F.broadcast(side.select(key)), F.col("__key") == col(key), "left_semi")
         .distinct()
     )
     unmatched = side.join(seen, col(key) == F.col("__key"), "left_anti").select(*_nulls(df), *names)
     return matched.union(apart).union(unmatched).toDF(*both)
 
 
+def _joined_by_parts(keyed: DataFrame, left: str, side: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with the rows of `side` they match, and the rows of `side` that none matches.
+
+    The rows of each key are counted first, in a narrow table that is written. Their number says
+    into how many parts both sides are dealt, so that a task sorts about `ROWS_PER_TASK` rows
+    however large the tables are. A key with more rows than that is dealt out once more,
+    over as many salts as it needs; its rows in `side` are repeated for each salt. Where `side`
+    itself has such a key, the rows that none matches are found by a join that Spark can split.
+    """
+    without, side = side.filter(col(key).isNull()), side.filter(col(key).isNotNull())
+    counted = keyed.groupBy(col(left).alias("__key")).agg(F.count("*").alias("__n"))
+    counted = written(counted, "reference-keys")
+    of_side = side.groupBy(key).agg(F.count("*").alias("__n"))
+    (n, most), (n_side, most_side) = (
+        c.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.coalesce(F.max("__n"), F.lit(0))).first() for c in (counted, of_side)
+    )
+    parts = max(1, math.ceil((n + n_side) / ROWS_PER_TASK))
+    refs, seen = side.repartition(parts, key), counted.select("__key")
+    if most_side <= ROWS_PER_TASK:
+        unmatched = refs.join(seen.repartition(parts, "__key"), col(key) == F.col("__key"), "left_anti").union(without)
+    else:
+        unmatched = side.join(seen, col(key) == F.col("__key"), "left_anti").union(without)
+    if most <= ROWS_PER_TASK:
+        return keyed.repartition(parts, col(left)).join(refs, col(left) == col(key), "left"), unmatched
+    salts = F.ceil(F.col("__n") / ROWS_PER_TASK).cast("int")
+    frequent = F.broadcast(counted.where(F.col("__n") > ROWS_PER_TASK).select("__key", salts.alias("__salts")))
+    salts = F.coalesce("__salts", F.lit(1))
+    salt = F.pmod(F.monotonically_increasing_id(), salts).cast("int").alias("__row_salt")
+    rows = keyed.join(frequent, col(left) == F.col("__key"), "left").select(*[col(c) for c in keyed.columns], salt)
+    refs = side.join(frequent, col(key) == F.col("__key"), "left").select(
+        *side.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("__salt")
+    )
+    met = (col(left) == col(key)) & (F.col("__row_salt") == F.col("__salt"))
+    dealt = rows.repartition(parts, col(left), "__row_salt").join(refs.repartition(parts, key, "__salt"), met, "left")
+    return dealt.drop("__row_salt", "__salt"), unmatched
+
+
 def _nulls(df: DataFrame) -> list[Column]:
     """A null in the place of every column."""
     return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]

@@ -161,3 +161,26 @@ def test_codes_of_many_values_with_a_hot_one(spark, monkeypatch):
     rows = op.label_encode(df, ["v"]).collect()
     order = sorted(set(values) - {None})
     assert len(rows) == len(values) and all(r.v_encoded == (None if r.v is None else order.index(r.v)) for r in rows)
+
+
+def test_large_reference_is_joined_in_parts_of_bounded_size(spark, monkeypatch):
+    """More rows make more parts, also those of one key; same rows as a full outer join."""
+    from millrace.operators import lookup
+
+    monkeypatch.setattr(lookup, "ROWS_PER_TASK", 100, raising=False)
+    keys = "CASE WHEN id < 900 THEN 7 WHEN id % 11 = 0 THEN NULL ELSE id % 1500 END"
+    df = spark.range(3000).selectExpr(f"{keys} AS k", "id AS v", "id % 3 AS __salt_")
+    ref = spark.range(1000).selectExpr("IF(id % 50 = 3, NULL, id * 2 + 1) AS r", "id % 4 AS v").union(
+        spark.createDataFrame([(7, 9), (8, 9), (9, 10)], "r long, v long")
+    )
+    twice = ref.union(spark.range(150).selectExpr("IF(id < 130, 4L, 907L)", "id"))
+    for rows, side in ((df, ref), (df.where("v >= 900"), ref), (df.limit(0), ref), (df.where("k IS NULL"), ref), (df, twice)):
+        out = op.join_reference(rows, side, ("k", "r"), 10)
+        wanted = rows.join(side, rows.k == side.r, "full_outer")
+        assert out.columns == wanted.columns and out.toDF(*"abcde").exceptAll(wanted.toDF(*"abcde")).count() == 0
+        assert out.count() == wanted.count()
+    out = op.join_reference(df, ref, ("k", "r"), 10).toDF("k", "v", "s", "r", "w")
+    sizes = [r["count"] for r in out.where("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 900 and len(sizes) > 3
+    sizes = out.where("k IS NOT NULL").groupBy(F.spark_partition_id()).count().count()
+    assert sizes > 16  # of some 30 parts; the session shuffles into 8
