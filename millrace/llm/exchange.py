@@ -133,9 +133,9 @@ def answers(requests: DataFrame, answer: Callable, label: str, coded: bool = Fal
     """The buckets' answers, written: one row for each chunk with found, an array of
     (kind, bucket, found). With them the sums of what the buckets counted, by kind.
 
-    `answer(kind, inverse, sums, first)` gets for all entries of a bucket the number of their
-    key, the sums over equal keys (by number, a matrix with a row for each of the sums), and the
-    entries that are the first of their key. It returns columns for the entries, of eight bytes
+    `answer(kind, inverse, sums, first, own)` gets for all entries of a bucket the number of their
+    key, the sums over equal keys (by number, a matrix with a row for each of the sums), the
+    entries that are the first of their key, and what each entry gave to the sums. It returns columns for the entries, of eight bytes
     or one byte a value, and a list of numbers that are added up over all buckets.
     """
 
@@ -150,7 +150,7 @@ def answers(requests: DataFrame, answer: Callable, label: str, coded: bool = Fal
         sums = np.stack([np.bincount(inverse, row, len(distinct)) for row in own])
         first = np.zeros(len(inverse), bool)
         first[at] = True
-        columns, counted = answer(kind, inverse, sums, first)
+        columns, counted = answer(kind, inverse, sums, first, own)
         rows, start = [], 0
         for chunk, n in zip(table.column("chunk").to_pylist(), sizes.tolist()):
             found = _packed([c[start : start + n] for c in columns])

@@ -34,6 +34,7 @@ ADDED = 0.1
 _START, _END = b"\n<", b"\n>"  # no word holds a line feed
 _COUNT_BYTES = 6  # of a count in an answer
 _CONTEXTS = 100  # kinds of questions about contexts: this plus the order
+_OWN = 200  # kinds of reports on n-grams that are in no other chunk: this plus the order
 
 
 def discounts(n: list[float], k: int = DISCOUNTED) -> np.ndarray:
@@ -113,6 +114,7 @@ class _Grams:
         trains = teaches & real
         self.keys, self.at = {1: hashes}, {1: token}
         self.context, self.suffix, self.there, self.counts, self.held = {}, {}, {}, {}, {}
+        self.known = {}  # what `_counts` made of the answers
         for k in range(1, upto + 1):
             if k > 1:
                 before = np.concatenate([[0], self.at[k - 1][:-1]])
@@ -132,11 +134,43 @@ class _Grams:
         self.at = {k: a[real] for k, a in self.at.items()}
 
 
-def _counts(found: list[dict], k: int) -> list[np.ndarray]:
+def _alone(g: _Grams, found: list[dict], k: int) -> np.ndarray:
+    """Which n-grams of order k are in no other chunk, as counts of the order below tell.
+
+    Where all training places of an n-gram are in this chunk, and no held-out text holds it, the
+    same is true of every longer one that begins or ends with it. Nobody has to be asked about these.
+    Start marks by themselves have no count, which says nothing about where they are.
+    """
+    if k < 3:
+        return np.zeros(len(g.keys[k]), bool)
+    counts, _, held = _counts(g, found, k - 1)
+    here = (counts > 0) & (counts == g.counts[k - 1]) & (held == 0)
+    return g.there[k] & (here[g.context[k]] | here[g.suffix[k]])
+
+
+def _counts(g: _Grams, found: list[dict], k: int) -> list[np.ndarray]:
     """By key: counts in the corpus, whether this chunk is the first to ask, whether held-out texts hold it."""
-    *digits, flags = received(found, k, [np.uint8] * (_COUNT_BYTES + 1))
-    counts = sum(d.astype(np.float64) * 256.0**i for i, d in enumerate(digits))
-    return [counts, flags & 1, flags >> 1]
+    if k not in g.known:
+        asked_for = ~_alone(g, found, k)
+        *digits, flags = received(found, k, [np.uint8] * (_COUNT_BYTES + 1))
+        counts, first, held = g.counts[k].copy(), np.ones(len(asked_for), np.uint8), np.zeros(len(asked_for), np.uint8)
+        counts[asked_for] = sum(d.astype(np.float64) * 256.0**i for i, d in enumerate(digits))
+        first[asked_for], held[asked_for] = flags & 1, flags >> 1
+        g.known[k] = [counts, first, held]
+    return g.known[k]
+
+
+def _often(counts: np.ndarray) -> list[float]:
+    """Of counts by n-gram: tokens, types and how many occur 1, 2, .. times."""
+    often = np.bincount(np.minimum(counts, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
+    return [float(counts.sum()), float((counts > 0).sum()), *map(float, often[1:])]
+
+
+def _reported(k: int, chunk: int, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """What `_often` says of the n-grams that nobody else is asked about, for a bucket that depends on the chunk."""
+    numbers = np.array(_often(counts))
+    start = mixed(np.array([chunk], np.uint64)) & ~np.uint64(15)
+    return asked(_OWN + k, chunk, start + np.arange(len(numbers), dtype=np.uint64), [numbers], buckets, coded=True)
 
 
 def _open(counts: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -156,14 +190,14 @@ def _probabilities(g: _Grams, model: Model, found: list[dict], upto: int):
     """
     chance, total = {}, {}
     for k in range(1, upto + 1):
-        total[k] = _counts(found, k)[0]
+        total[k] = _counts(g, found, k)[0]
         kept = model.kept(k, total[k])
         if k == 1:
             seen = model.scale * kept / max(model.tokens, 1)
             chance[1] = np.where(total[1] > 0, seen, model.unknown)
             continue
-        whole, _, held = _counts(found, k - 1)
-        asked_for, left = _open(whole, held), np.ones(len(whole))
+        whole, _, held = _counts(g, found, k - 1)
+        asked_for, whole, left = _open(whole, held), whole.copy(), np.ones(len(whole))
         whole[asked_for], left[asked_for] = received(found, _CONTEXTS + k, [np.float64, np.float64])
         at = g.context[k]
         backed = left[at] * chance[k - 1][g.suffix[k]]
@@ -179,14 +213,17 @@ def _asking(model: Model, weighs: int, counts: list[int], order: int, buckets: i
 
     def contexts(g: _Grams, found: list[dict]) -> tuple[np.ndarray, list[np.ndarray]]:
         chance, _ = _probabilities(g, model, found, weighs - 1)
-        counts, owner, _ = _counts(found, weighs)
-        own = g.there[weighs] & (counts > 0) & (owner > 0)
-        counts = np.where(own, counts, 0.0)
+        found_counts, owner, _ = _counts(g, found, weighs)
+        own = g.there[weighs] & (found_counts > 0) & (owner > 0)
+        counts = np.where(own, found_counts, 0.0)
         lower = np.where(own, chance[weighs - 1][g.suffix[weighs]], 0.0)
         keys = g.keys[weighs - 1]
-        total, _, held = _counts(found, weighs - 1)
+        total, _, held = _counts(g, found, weighs - 1)
         at, sent = g.context[weighs], _open(total, held)
-        sums = [np.bincount(at, x, len(keys))[sent] for x in (counts, model.kept(weighs, counts), lower)]
+        # Backoff weights are for unseen successors, which only held-out texts have.
+        lower = np.where(held[at] > 0, lower, 0.0)
+        unseen = g.there[weighs] & (found_counts == 0)
+        sums = [np.bincount(at, x, len(keys))[sent] for x in (counts, model.kept(weighs, counts), lower, unseen)]
         return keys[sent], sums
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,38 +234,44 @@ def _asking(model: Model, weighs: int, counts: list[int], order: int, buckets: i
                 if weighs:
                     rows += asked(_CONTEXTS + weighs, row["chunk"], *contexts(g, row["found"]), buckets, coded=True)
                 for k in counts:
-                    rows += asked(k, row["chunk"], g.keys[k], [g.counts[k], g.held[k]], buckets, coded=True)
+                    alone = _alone(g, row["found"], k)
+                    rows += asked(k, row["chunk"], g.keys[k][~alone], [g.counts[k][~alone], g.held[k][~alone]], buckets, coded=True)
+                    if alone.any():
+                        rows += _reported(k, row["chunk"], g.counts[k][alone], buckets)
                 yield batch_of(rows, REQUEST)
 
     return ask
 
 
-def _answered(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
-    return (_weighed if kind > _CONTEXTS else _counted)(inverse, sums, first)
+def _answered(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray, own: np.ndarray):
+    if kind > _OWN:
+        return [], sums[0].reshape(-1, DISCOUNTED + 4).sum(axis=0).tolist()
+    return _weighed(inverse, sums, own) if kind > _CONTEXTS else _counted(inverse, sums, first)
 
 
 def _counted(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
     """Counts in the whole corpus; tokens, types and how many occur 1, 2, .. times."""
     counts, held = sums
-    often = np.bincount(np.minimum(counts, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
     flags = first.astype(np.uint8) | ((held > 0)[inverse].astype(np.uint8) << 1)
     digits = planes(counts.astype(np.uint64)[inverse])[:_COUNT_BYTES]
-    return [*digits, flags], [counts.sum(), float((counts > 0).sum()), *map(float, often[1:])]
+    return [*digits, flags], _often(counts)
 
 
-def _weighed(inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
+def _weighed(inverse: np.ndarray, sums: np.ndarray, own: np.ndarray):
     """For each context the count that kept counts are divided by, and the backoff weight.
 
+    Chunks without an unseen successor of the context get 1 for the weight, which they do not need.
+
     Seen and unseen successors add up to 1 exactly. A context whose counts are all too large for
     a discount keeps one count in its number plus one back for unseen successors. A context
     never seen leaves everything to the lower order.
     """
-    counts, kept, lower = sums
+    counts, kept, lower, _ = sums
     none = counts - kept <= 1e-9 * counts
     whole = np.where(none, counts + 1, counts)
     left = (1 - kept / np.maximum(whole, 1)) / np.maximum(1 - lower, 1e-12)
     left = np.where(counts > 0, left, 1.0)
-    return [whole[inverse], left[inverse]], []
+    return [whole[inverse], np.where(own[3] > 0, left[inverse], 1.0)], []
 
 
 def _scoring(model: Model, key: str):
@@ -284,7 +327,9 @@ def score_texts(
         asking = _asking(Model(max(weighs, 1), counted), weighs, counts, order, buckets)
         requests = joined(chunks, replies).select(*columns).mapInArrow(asking, REQUEST)
         found, sums = answers(requests, _answered, "counts", coded=True)
-        counted |= sums
+        for kind, numbers in sums.items():
+            k = kind - _OWN if kind > _OWN else kind
+            counted[k] = [a + b for a, b in zip(counted.get(k, [0.0] * len(numbers)), numbers)]
         replies.append(found)
     model = Model(order, counted)
     kind = documents.schema[key].dataType.simpleString()

@@ -104,7 +104,7 @@ def _alive(chunk: _Chunk, h: dict[int, np.ndarray], lengths: list[int], window:
     return alive
 
 
-def _repeated(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray):
+def _repeated(kind: int, inverse: np.ndarray, sums: np.ndarray, first: np.ndarray, own: np.ndarray):
     twice = sums[0] >= 2
     return [twice[inverse].astype(np.uint8)], [float(twice.sum())]
 

@@ -1,6 +1,7 @@
 """Katz scores against counts and weights worked out with dictionaries."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -99,3 +100,44 @@ def test_discounts():
     assert ((good > 0) & (good < 1)).all() and good[0] == good.min()
     assert discounts([0.0] * 6)[0] == 0.5
     assert discounts([10.0, 5.0, 0, 0, 0, 0])[0] == pytest.approx(0.5)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("every", [2, 5, 1000])
+def test_ngrams_of_one_chunk_only(spark, order, every, monkeypatch):
+    """Texts with passages of their own, shared ones and repeats in one chunk; with every = 1000 only the first is held out."""
+    monkeypatch.setattr(exchange, "CHUNK_BYTES", 150)
+    monkeypatch.setattr(exchange, "_BUCKET_BYTES", 300)
+    rnd = random.Random(order)
+    texts = [" ".join(rnd.choices("abcdefghijklmnopqrst", k=rnd.randint(0, 25))) for _ in range(30)]
+    texts += [texts[3], texts[7], texts[7] + " a b", "a a a a a a a", "u v w u v w u v w"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = Brute([t for i, t in enumerate(texts) if i % every], order)
+    for r in score_texts(docs, trains=F.col("doc_id") % every != 0, order=order).collect():
+        w = tokens(texts[r["doc_id"]], order)
+        score = sum(math.log10(model.p(tuple(w[j - order + 1 : j + 1]))) for j in range(order - 1, len(w)))
+        assert r["score"] == pytest.approx(score)
+
+
+def test_asks_only_what_others_may_know(spark, monkeypatch):
+    """Triples that hold a pair of this chunk alone go to nobody, and weights only to chunks with unseen n-grams."""
+    monkeypatch.setattr(exchange, "CHUNK_BYTES", 400)
+    asked, weights = {}, []
+
+    def answers(requests, answer, label, coded=False):
+        rows = requests.collect()
+        for r in rows:
+            asked[r["kind"]] = asked.get(r["kind"], 0) + len(exchange._keys_of(r["keys"], coded))
+        found, sums = exchange.answers(requests, answer, label, coded)
+        for r in found.collect():
+            weights.extend(w for w in exchange.received(r["found"], 103, [float, float])[1])
+        return found, sums
+
+    monkeypatch.setattr("millrace.llm.katz.answers", answers)
+    texts = [" ".join(f"w{i}x{j % 20}" for j in range(40)) for i in range(9)] + ["x y z x y q", "x y z x y z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    scores = score_texts(docs, trains=F.col("doc_id") < 10, order=3)
+    assert scores.count() == len(texts)
+    assert asked[2] > 9 * 20  # nothing is known yet when pairs are counted
+    assert asked[3] < 60  # starts and ends of texts and what the held-out one holds; 200 triples before
+    assert sum(w != 1 for w in weights) <= 6
