@@ -1,10 +1,11 @@
-"""Byte-level BPE: recursive queries of DuckDB, one connection for each task."""
+"""Byte-level BPE: recursive queries of DuckDB, one connection for each task that encodes."""
 
 from __future__ import annotations
 
 import base64
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import count, islice
 
 import duckdb
@@ -15,15 +16,14 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.text import bounded, texts_of
 
-#: Bytes of text in hand at a time, words in one recursive query, words remembered by a task.
-_BATCH_BYTES = 4 << 20
-_QUERY_WORDS = 20_000
-_KNOWN_WORDS = 800_000
+#: Bytes of text in hand at a time, words in one recursive query, words and pieces remembered by a task.
+_BATCH_BYTES = 1 << 20
+_QUERY_WORDS = 5_000
+_KNOWN_WORDS = 600_000
 _LONG_WORD = 64
-_PART_TOKENS = 1 << 18
+_PART_TOKENS = 1 << 16
 
 _SETUP = """
-    CREATE TABLE vocabulary AS SELECT id, hex(bytes) AS digits FROM given;
     CREATE TABLE merges AS
       WITH cuts AS (
         SELECT id, bytes, unnest(generate_series(1, octet_length(bytes) - 1)) AS k FROM given)
@@ -103,13 +103,6 @@ _LONG = """
     SELECT word, ids FROM step WHERE NOT live ORDER BY word
 """
 
-#: One thread adds the rows up in the order of the subquery.
-_DECODE = """
-    SELECT part, string_agg(digits, '') AS digits
-    FROM (SELECT t.part, v.digits FROM tokens t JOIN vocabulary v USING (id) ORDER BY t.place)
-    GROUP BY part
-"""
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """A file of base64 tokens and ranks."""
@@ -120,8 +113,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class _Lists:
     """Lists of numbers one after the other, with their starts and sizes."""
 
-    def __init__(self) -> None:
-        self.values = np.zeros(0, np.int32)
+    def __init__(self, kind: type = np.int32) -> None:
+        self.values = np.zeros(0, kind)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
 
@@ -143,13 +136,31 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self._ranks = ranks
         self._pattern = regex.compile(pattern)
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        given = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks, pa.binary())})
-        self._db.register("given", given)
-        self._db.execute(_SETUP)
-        self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self._forget()
 
+    @cached_property
+    def _db(self) -> duckdb.DuckDBPyConnection:
+        """Only tasks that encode have one."""
+        db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        given = pa.table({"id": pa.array(self._ranks.values(), pa.int32()), "bytes": pa.array(self._ranks, pa.binary())})
+        db.register("given", given)
+        db.execute(_SETUP)
+        return db
+
+    @cached_property
+    def _byte(self) -> np.ndarray:
+        return np.array([self._ranks[bytes([b])] for b in range(256)], np.int32)
+
+    @cached_property
+    def _vocabulary(self) -> tuple[np.ndarray, _Lists]:
+        """All ids in order, and their tokens; behind these an empty one, for ids without a token."""
+        ids, tokens = np.fromiter(self._ranks.values(), np.int64, len(self._ranks)), list(self._ranks)
+        order = np.argsort(ids)
+        lists = _Lists(np.uint8)
+        sizes = [len(tokens[i]) for i in order]
+        lists.add(np.frombuffer(b"".join(tokens[i] for i in order), np.uint8), np.array([*sizes, 0], np.int64))
+        return ids[order], lists
+
     def _forget(self) -> None:
         self._words: dict[str, int] = defaultdict(count().__next__)
         self._word_ids = _Lists()
@@ -210,7 +221,7 @@ class Tokenizer:
         match of the pattern crosses the cuts, and the ids of known pieces are looked up; any
         other text is matched as a whole.
         """
-        if len(self._words) > _KNOWN_WORDS:
+        if len(self._words) + len(self._pieces) > _KNOWN_WORDS:
             self._forget()
         number = self._pieces.__getitem__
         heads, tails = [], []
@@ -230,18 +241,18 @@ class Tokenizer:
         ]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes of every list of ids, put in order by DuckDB."""
-        sizes = np.array([len(x) for x in ids], np.int64)
+        """The bytes of every list of ids."""
+        known, tokens = self._vocabulary
         flat = np.concatenate([np.zeros(0, np.int32), *ids])
-        text = np.repeat(np.arange(len(ids)), sizes)
-        found = [b""] * len(ids)
+        parts, ends = [], [np.zeros(1, np.int64)]
         for start in range(0, len(flat), _PART_TOKENS):
-            part = slice(start, start + _PART_TOKENS)
-            tokens = {"part": text[part], "place": np.arange(len(flat[part])), "id": flat[part]}
-            self._db.register("tokens", pa.table(tokens))
-            for i, digits in self._db.sql(_DECODE).fetchall():
-                found[i] += bytes.fromhex(digits)
-        return found
+            part = flat[start : start + _PART_TOKENS]
+            at = np.searchsorted(known, part)
+            at[np.append(known, -1)[at] != part] = len(known)
+            parts.append(tokens.joined(at).tobytes())
+            ends.append(ends[-1][-1] + np.cumsum(tokens.sizes[at]))
+        whole, bounds = b"".join(parts), np.concatenate(ends)[np.cumsum([0, *map(len, ids)])].tolist()
+        return [whole[a:z] for a, z in zip(bounds, bounds[1:])]
 
 
 def _mapped(df: DataFrame, column: str, out: str, kind: str, ranks: dict[bytes, int], pattern: str, work) -> DataFrame:

@@ -12,6 +12,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 
@@ -51,10 +52,10 @@ def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def bounded(batch: pa.RecordBatch, text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose texts hold `max_bytes` at most, or one row."""
     start, held = 0, 0
-    for i, t in enumerate(texts_of(batch.column(text))):
-        if held + len(t) > max_bytes and i > start:
+    for i, n in enumerate(pc.binary_length(batch.column(text).cast(pa.binary())).fill_null(0).to_pylist()):
+        if held + n > max_bytes and i > start:
             yield batch.slice(start, i - start)
             start, held = i, 0
-        held += len(t)
+        held += n
     if start < batch.num_rows:
         yield batch.slice(start)

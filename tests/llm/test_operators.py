@@ -260,6 +260,28 @@ def test_long_words_by_ranks_in_any_order(seed):
         assert [x.tolist() for x in tokenizer.encode(texts)] == [contracted(t.encode(), ranks) for t in texts]
 
 
+def test_decoding_opens_no_database(ranks, monkeypatch):
+    texts = ["", "a tale of thé 漢字 😀", "x" * 5000, " \n "]
+    ids = bpe.Tokenizer(ranks, public_tokenizers.PATTERN).encode(texts)
+    monkeypatch.setattr(bpe.duckdb, "connect", lambda **_: pytest.fail("a database"))
+    monkeypatch.setattr(bpe, "_PART_TOKENS", 3)
+    tokenizer = bpe.Tokenizer(ranks, "")
+    assert tokenizer.decode(ids) == [t.encode() for t in texts]
+    strange = [np.array([-1, *x.tolist(), 1 << 30], np.int32) for x in ids]
+    assert tokenizer.decode(strange) == [t.encode() for t in texts]
+
+
+def test_tokenizer_forgets_pieces_too(ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "_KNOWN_WORDS", 1000)
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokenizer, most = bpe.Tokenizer(ranks, public_tokenizers.PATTERN), 0
+    for start in range(0, 3000, 300):
+        texts = [f"some-{i} more-{i}" for i in range(start, start + 300)]
+        assert [x.tolist() for x in tokenizer.encode(texts)] == [whole.encode_ordinary(t) for t in texts]
+        most = max(most, len(tokenizer._words) + len(tokenizer._pieces))
+    assert most < 3000
+
+
 def test_encode_and_decode_keep_other_columns(spark, odd, ranks):
     encoded = bpe.encode(odd, ranks, public_tokenizers.PATTERN)
     rows = bpe.decode(encoded, ranks).collect()
