@@ -23,6 +23,8 @@ from millrace.llm.text import bounded, texts_of
 from millrace.sources.scratch import scratch_path
 
 CHUNK_BYTES = 4 << 20
+#: Chunks that a task writes or reads at a time, however many a file holds.
+CHUNKS_IN_HAND = 2
 _BUCKET_BYTES = 12 << 20
 
 REQUEST = "kind int, bucket int, chunk bigint, keys binary, sums binary"
@@ -54,7 +56,7 @@ def chunked(documents: DataFrame, columns: list[str], text: str, blob: Callable
 
     chunks = documents.select(*dict.fromkeys([*columns, text])).mapInArrow(cut, schema)
     if not blob:
-        return written(chunks, "chunks")
+        return written(chunks, "chunks", rows_per_group=CHUNKS_IN_HAND)
     spark = documents.sparkSession
     writer = chunks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").sortBy("chunk")
     writer.option("compression", "zstd").option("path", scratch_path(spark, "chunks")).saveAsTable(name)

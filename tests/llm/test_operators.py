@@ -1,9 +1,11 @@
 """Operators on small frames: nulls, empty and long texts, ties, repeated rows, no rows, other columns."""
 
 import random
+from urllib.parse import urlsplit
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -167,6 +169,17 @@ def test_repeats_against_all_windows(spark, monkeypatch, window, least, letters)
     assert all(sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"] for r in got.values())
 
 
+def test_chunks_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    """A file holds as many chunks as its task made, a group of its rows only a few: a task holds one group."""
+    monkeypatch.setattr(exchange, "CHUNK_BYTES", 50)
+    docs = spark.range(20).select("id", F.repeat(F.lit("word "), 10).alias("text")).coalesce(1)
+    chunks = exchange.chunked(docs, ["id"], "text")
+    files = [pq.ParquetFile(urlsplit(f).path).metadata for f in chunks.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == chunks.count() == 20 and len([m for m in files if m.num_rows]) == 1
+    assert max(groups) <= exchange.CHUNKS_IN_HAND < 20
+
+
 def test_repeats_in_odd_texts(spark, odd):
     rows = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in remove_repeats(odd).collect()}
     assert (4, 30_000, 30_000) in rows and (1, 0, 0) in rows and (None, 2, 0) in rows
